@@ -122,7 +122,10 @@ def flatten_array(df: DataFrame, column: str | None, out: str | None = None, sep
     if not present(df, [column]):
         return df
     out = out or column.replace(".", "_")
-    return df.withColumn(out, F.concat_ws(sep, qcol(column))).drop(qcol(column))
+    flat = F.concat_ws(sep, qcol(column))
+    if out == column:
+        return df.withColumn(out, flat)
+    return df.withColumn(out, flat).drop(qcol(column))
 
 
 def safe_casts(df: DataFrame, strings: Iterable[str] = (), ints: Iterable[str] = ()) -> DataFrame:
