@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import TIME_ZONE, TIMESTAMP_PATTERNS
+from ..spec import PATTERN_SHAPES, TIME_ZONE, TIMESTAMP_PATTERNS
 
 
 def parse_timestamp(c: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
@@ -19,10 +19,15 @@ def parse_timestamp(c: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
     then Spark's default parse (ISO forms, with or without ``T``). Strings with
     no offset are read as wall-clock time in ``time_zone`` rather than in
     whatever the session zone happens to be. ``try_to_timestamp`` is used
-    throughout because ANSI ``to_timestamp`` raises on the first failed pattern.
+    throughout because ANSI ``to_timestamp`` raises on the first failed pattern;
+    a known pattern is only attempted when the string has its shape.
     """
     s = F.regexp_replace(c, r"Z$", "+00:00")
-    tries = [F.try_to_timestamp(s, F.lit(p)) for p in patterns]
+    tries = []
+    for p in patterns:
+        attempt = F.try_to_timestamp(s, F.lit(p))
+        shape = PATTERN_SHAPES.get(p)
+        tries.append(F.when(s.rlike(shape), attempt) if shape else attempt)
     # try_cast to TIMESTAMP_NTZ succeeds only for strings without an offset.
     wall = s.try_cast(T.TimestampNTZType())
     offsetless = F.convert_timezone(F.lit(time_zone), F.current_timezone(), wall).cast(T.TimestampType())

@@ -84,8 +84,13 @@ def label_rows(df: DataFrame, spec: MovementSpec = FLIGHTS, method: str = "join"
     if method != "join":
         raise ValueError(f"unknown method {method!r}")
     labeled = label_windows(traffic_windows(base, keys), spec.peak_percentile)
-    cols = [c for c in base.columns] + [WINDOW_COUNT, LABEL]
-    joined = base.join(labeled, keys, "left").select(*[F.col("`%s`" % c) for c in cols])
+    right = labeled.select(*[F.col(k).alias(f"__w_{k}") for k in keys], WINDOW_COUNT, LABEL)
+    # Null-safe keys: equal results here (keys are never NULL after the parse
+    # filter), but no isnotnull() filters are inferred into the window branch,
+    # so it stays identical to the threshold subquery and to the row side, and
+    # the scan, parse and dedupe shuffle are computed once and reused.
+    cond = [base[k].eqNullSafe(right[f"__w_{k}"]) for k in keys]
+    joined = base.join(right, cond, "left").select(base["*"], right[WINDOW_COUNT], right[LABEL])
     return joined.withColumn(LABEL, F.coalesce(F.col(LABEL), F.lit(0)))
 
 

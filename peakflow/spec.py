@@ -54,6 +54,16 @@ TIMESTAMP_PATTERNS = (
     "yyyy-MM-dd HH:mmX",
 )
 
+# Cheap shape test per pattern: every string the pattern can parse matches it
+# (a superset), so testing first never changes a result; it only skips parse
+# attempts that would fail (a failed attempt costs an exception inside Spark).
+PATTERN_SHAPES = {
+    "yyyy-MM-dd HH:mm:ssXXX": r":\d\d:\d\d[+-]\d\d:\d\d$",
+    "yyyy-MM-dd HH:mmXXX": r"\d\d:\d\d[+-]\d\d:\d\d$",
+    "yyyy-MM-dd HH:mm:ssX": r":\d\d:\d\d[+-]\d\d(\d\d)?$",
+    "yyyy-MM-dd HH:mmX": r"\d\d:\d\d[+-]\d\d(\d\d)?$",
+}
+
 # dayofweek() values counted as weekend (1 = Sunday ... 7 = Saturday): Friday, Saturday.
 WEEKEND_DAYS = (6, 7)
 
