@@ -11,18 +11,22 @@ from pyspark.sql import types as T
 from ..spec import PATTERN_SHAPES, TIME_ZONE, TIMESTAMP_PATTERNS
 
 
-def parse_timestamp(c: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
-                    time_zone: str = TIME_ZONE) -> Column:
-    """Parse a string to an instant (TIMESTAMP), NULL when nothing fits.
+def normalize_offset(c: Column) -> Column:
+    """A trailing ``Z`` becomes ``+00:00`` (the form every offset pattern accepts)."""
+    return F.regexp_replace(c, r"Z$", "+00:00")
 
-    A trailing ``Z`` becomes ``+00:00``; then the first pattern that parses wins;
-    then Spark's default parse (ISO forms, with or without ``T``). Strings with
-    no offset are read as wall-clock time in ``time_zone`` rather than in
-    whatever the session zone happens to be. ``try_to_timestamp`` is used
-    throughout because ANSI ``to_timestamp`` raises on the first failed pattern;
-    a known pattern is only attempted when the string has its shape.
+
+def parse_normalized(s: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
+                     time_zone: str = TIME_ZONE) -> Column:
+    """Parse an offset-normalised string (see :func:`normalize_offset`) to an instant.
+
+    The first pattern that parses wins, then Spark's default parse (ISO forms,
+    with or without ``T``). Strings with no offset are read as wall-clock time
+    in ``time_zone`` rather than in whatever the session zone happens to be.
+    ``try_to_timestamp`` is used throughout because ANSI ``to_timestamp``
+    raises on the first failed pattern; a known pattern is only attempted when
+    the string has its shape. NULL when nothing fits.
     """
-    s = F.regexp_replace(c, r"Z$", "+00:00")
     tries = []
     for p in patterns:
         attempt = F.try_to_timestamp(s, F.lit(p))
@@ -34,6 +38,17 @@ def parse_timestamp(c: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
     return F.coalesce(*tries, offsetless, F.try_to_timestamp(s))
 
 
+def parse_timestamp(c: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
+                    time_zone: str = TIME_ZONE) -> Column:
+    """Parse a string to an instant (TIMESTAMP), NULL when nothing fits.
+
+    ``parse_normalized(normalize_offset(c))`` as one expression; operators that
+    parse a whole column normalise in a projection first so the normalised
+    string is computed once per row.
+    """
+    return parse_normalized(normalize_offset(c), patterns, time_zone)
+
+
 def local_wall_clock(c: Column, dtype: T.DataType, time_zone: str = TIME_ZONE) -> Column:
     """Wall-clock time in ``time_zone`` as TIMESTAMP_NTZ.
 

@@ -83,15 +83,17 @@ def label_rows(df: DataFrame, spec: MovementSpec = FLIGHTS, method: str = "join"
             LABEL, F.when(F.col(WINDOW_COUNT) >= thr, F.lit(1)).otherwise(F.lit(0)))
     if method != "join":
         raise ValueError(f"unknown method {method!r}")
-    labeled = label_windows(traffic_windows(base, keys), spec.peak_percentile)
-    right = labeled.select(*[F.col(k).alias(f"__w_{k}") for k in keys], WINDOW_COUNT, LABEL)
+    windows = traffic_windows(base, keys)
+    right = windows.select(*[F.col(k).alias(f"__w_{k}") for k in keys], WINDOW_COUNT)
     # Null-safe keys: equal results here (keys are never NULL after the parse
     # filter), but no isnotnull() filters are inferred into the window branch,
-    # so it stays identical to the threshold subquery and to the row side, and
-    # the scan, parse and dedupe shuffle are computed once and reused.
+    # so it stays identical to the row side and the threshold subquery. The
+    # label is compared above the join, so the subquery runs after the shared
+    # scan/parse/dedupe shuffle exists and reuses it instead of racing it.
     cond = [base[k].eqNullSafe(right[f"__w_{k}"]) for k in keys]
-    joined = base.join(right, cond, "left").select(base["*"], right[WINDOW_COUNT], right[LABEL])
-    return joined.withColumn(LABEL, F.coalesce(F.col(LABEL), F.lit(0)))
+    joined = base.join(right, cond, "left").select(base["*"], right[WINDOW_COUNT])
+    thr = threshold_value(windows, spec.peak_percentile)
+    return joined.withColumn(LABEL, F.when(F.col(WINDOW_COUNT) >= thr, F.lit(1)).otherwise(F.lit(0)))
 
 
 def hourly_label_counts(df: DataFrame) -> DataFrame:

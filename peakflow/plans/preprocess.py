@@ -27,17 +27,36 @@ def cleaned(df: DataFrame, spec: MovementSpec = FLIGHTS) -> DataFrame:
     return timeparts.parse_timestamps(clean.clean_strings(df, spec), spec)
 
 
-def validated(df: DataFrame, spec: MovementSpec = FLIGHTS) -> DataFrame:
-    """``cleaned`` -> drop unparsable -> format rules -> time parts -> cargo flag -> fill UNKNOWN."""
+def _checked(df: DataFrame, spec: MovementSpec) -> DataFrame:
+    """``cleaned`` -> drop unparsable -> format rules -> fill UNKNOWN (no derived parts yet)."""
     out = timeparts.filter_unparsed(cleaned(df, spec), LOCAL_TS)
     out = clean.regex_nullify(out, spec.format_rules)
-    out = timeparts.time_parts(out, spec, LOCAL_TS)
-    out = clean.bool_flag(out, spec.cargo)
     return clean.fill_unknown(out, spec.fill_unknown)
 
 
+def _derived(df: DataFrame, spec: MovementSpec) -> DataFrame:
+    """Time parts and cargo flag: pure functions of columns already present."""
+    return clean.bool_flag(timeparts.time_parts(df, spec, LOCAL_TS), spec.cargo)
+
+
+def validated(df: DataFrame, spec: MovementSpec = FLIGHTS) -> DataFrame:
+    """``cleaned`` -> drop unparsable -> format rules -> time parts -> cargo flag -> fill UNKNOWN.
+
+    (Fill and the derived parts touch different columns, so their order is free.)
+    """
+    return _derived(_checked(df, spec), spec)
+
+
 def deduplicated(df: DataFrame, spec: MovementSpec = FLIGHTS) -> DataFrame:
-    return quality.dedupe_rows(validated(df, spec))
+    """``validated`` with full-row duplicates removed.
+
+    The derived columns are deterministic functions of the other columns, so
+    deduplicating before deriving them yields exactly the same rows, while the
+    dedupe shuffle carries narrower rows and the derivation runs once per
+    distinct row. The parsed instant stays in the key (it is what is hard to
+    recompute); date/hour/weekday/weekend/cargo flag are added after.
+    """
+    return _derived(quality.dedupe_rows(_checked(df, spec)), spec)
 
 
 def preprocess(df: DataFrame, spec: MovementSpec = FLIGHTS, label_method: str = "join") -> DataFrame:
