@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import PATTERN_SHAPES, TIME_ZONE, TIMESTAMP_PATTERNS
+from ..spec import OFFSETLESS_SHAPE, PATTERN_SHAPES, TIME_ZONE, TIMESTAMP_PATTERNS
 
 
 def normalize_offset(c: Column) -> Column:
@@ -32,9 +32,10 @@ def parse_normalized(s: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
         attempt = F.try_to_timestamp(s, F.lit(p))
         shape = PATTERN_SHAPES.get(p)
         tries.append(F.when(s.rlike(shape), attempt) if shape else attempt)
-    # try_cast to TIMESTAMP_NTZ succeeds only for strings without an offset.
+    # Only strings with no zone at all are read as wall-clock time in time_zone.
     wall = s.try_cast(T.TimestampNTZType())
-    offsetless = F.convert_timezone(F.lit(time_zone), F.current_timezone(), wall).cast(T.TimestampType())
+    offsetless = F.when(s.rlike(OFFSETLESS_SHAPE), F.convert_timezone(
+        F.lit(time_zone), F.current_timezone(), wall).cast(T.TimestampType()))
     return F.coalesce(*tries, offsetless, F.try_to_timestamp(s))
 
 

@@ -64,6 +64,11 @@ PATTERN_SHAPES = {
     "yyyy-MM-dd HH:mmX": r"\d\d:\d\d[+-]\d\d(\d\d)?$",
 }
 
+# Strings with date and optional time but no zone or offset: read as wall-clock
+# time in the spec's time zone. Anything else falls through to Spark's
+# zone-aware default parse (a TIMESTAMP_NTZ cast would silently drop an offset).
+OFFSETLESS_SHAPE = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+
 # dayofweek() values counted as weekend (1 = Sunday ... 7 = Saturday): Friday, Saturday.
 WEEKEND_DAYS = (6, 7)
 

@@ -15,6 +15,9 @@ CASES = [
     ("2024-01-05T10:30:15+03:00", 1704439815),
     ("2024-01-05T07:30:15Z", 1704439815),
     ("2024-01-05 10:30:15", 1704439815),  # no offset: wall-clock time in Asia/Riyadh
+    ("2024-01-05T10:30:15", 1704439815),
+    ("2024-01-05T10:30:15.5+03:00", 1704439815),
+    ("2024-01-05T07:30:15+00:00", 1704439815),
     ("garbage", None),
     ("", None),
     (None, None),
