@@ -73,9 +73,9 @@ def main() -> None:
         from peakflow.operators import ml
         from peakflow.plans.ml_queries import KEY, ml_input
         from peakflow.sources.bindings import MOVEMENTS
-        data = ml_input(spark, sf_dir)
-        train, test = ml.hash_split(data, KEY)
         t0 = time.perf_counter()
+        data = ml_input(spark, sf_dir).checkpoint(eager=True)  # as the ML queries and programs do
+        train, test = ml.hash_split(data, KEY)
         model = ml.model_pipeline(train, MOVEMENTS).fit(train)
         run_noop(ml.classification_metrics(model.transform(test)))
         timings["ml_random_forest_fit_eval"] = round(time.perf_counter() - t0, 3)

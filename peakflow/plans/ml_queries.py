@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, ml
 from ..session import ensure_checkpoint_dir, shared_path
-from ..sources.bindings import MOVEMENTS, movements_raw
+from ..sources.bindings import MOVEMENTS
 from . import oracle as O
-from . import preprocess as pre
 from .export import portable
 
 M = MOVEMENTS
@@ -25,8 +24,8 @@ KEY = ("movement_id",)
 
 
 def ml_input(spark: SparkSession, base: str) -> DataFrame:
-    pp = pre.preprocess(movements_raw(spark, base), M)
-    return ml.ml_frame(clean.reduce_columns(pp, M.keep_columns), M)
+    from .registry import _pp
+    return ml.ml_frame(clean.reduce_columns(_pp(spark, base), M.keep_columns), M)
 
 
 _FITTED: dict = {}

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, label, ml, quality, traffic
+from ..session import ensure_checkpoint_dir
 from ..sources import sinks
 from ..spec import FLIGHTS, MovementSpec
 from . import preprocess as pre
@@ -111,7 +112,9 @@ def run_ml(pp: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS,
            split_keys: list[str] | None = None) -> DataFrame:
     """Split, baseline, forest, metrics, confusion, importances, saved model. Returns the metrics table."""
     spark = pp.sparkSession
-    frame = ml.ml_frame(pp, spec)
+    ensure_checkpoint_dir(spark)
+    # The fit passes over its input many times: cut the lineage once.
+    frame = ml.ml_frame(pp, spec).checkpoint(eager=True)
     keys = split_keys or [c for c in frame.columns if c != "label"]
     train, test = ml.hash_split(frame, keys)
     model = ml.model_pipeline(train, spec).fit(train)

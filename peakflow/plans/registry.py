@@ -27,39 +27,70 @@ PEAK_SHARE_TEST_FLOOR = 650
 
 M = MOVEMENTS
 
+_PLANS: dict = {}
 
+
+def _memo(fn):
+    """Build a base plan once per (application, folder) and reuse the DataFrame object.
+
+    Only the immutable logical plan is shared (as a user would keep ``pp`` in
+    a variable); every query execution still recomputes from the tables.
+    """
+    def wrapper(spark, base):
+        key = (fn.__name__, spark.sparkContext.applicationId, base)
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, base)
+        return _PLANS[key]
+    wrapper.__name__ = fn.__name__
+    return wrapper
+
+
+@_memo
+def _routes(spark, base):
+    return routes(spark, base)
+
+
+@_memo
 def _raw(spark, base):
     return movements_raw(spark, base)
 
 
+@_memo
 def _clean(spark, base):
     return clean.clean_strings(_raw(spark, base), M)
 
 
+@_memo
 def _parsed(spark, base):
     return pre.cleaned(_raw(spark, base), M)
 
 
+@_memo
 def _validated(spark, base):
     return pre.validated(_raw(spark, base), M)
 
 
+@_memo
 def _dedup(spark, base):
     return pre.deduplicated(_raw(spark, base), M)
 
 
+@_memo
 def _grouped(spark, base):
     return clean.terminal_group(_dedup(spark, base), M.terminal)
 
 
+@_memo
 def _pp(spark, base):
     return pre.preprocess(_raw(spark, base), M)
 
 
+@_memo
 def _windows(spark, base):
     return label.traffic_windows(_grouped(spark, base))
 
 
+@_memo
 def _reduced(spark, base):
     return clean.rename_dotted(clean.reduce_columns(_pp(spark, base), M.keep_columns), M.rename_map)
 
@@ -133,13 +164,13 @@ QUERIES: dict[str, Query] = {
     "hourly_total": _p(lambda s, b: traffic.hourly_total(_pp(s, b))),
     "weekend_counts": _p(lambda s, b: traffic.weekend_counts(_pp(s, b))),
     "top_carriers": _p(lambda s, b: traffic.top_carriers(_pp(s, b), M)),
-    "top_destinations": _p(lambda s, b: traffic.top_destinations(routes(s, b), ROUTES)),
+    "top_destinations": _p(lambda s, b: traffic.top_destinations(_routes(s, b), ROUTES)),
     "status_distribution": _p(lambda s, b: traffic.status_distribution(_pp(s, b), M)),
     "carrier_by_label": _p(lambda s, b: traffic.carrier_by_label(_pp(s, b), M)),
     "destination_by_label": _p(lambda s, b: traffic.destination_by_label(_pp(s, b), M)),
-    "distinct_routes": _p(lambda s, b: traffic.distinct_routes(routes(s, b), ROUTES)),
-    "route_count": _p(lambda s, b: traffic.route_count(routes(s, b), ROUTES)),
-    "top_routes": _p(lambda s, b: traffic.top_routes(routes(s, b), ROUTES)),
+    "distinct_routes": _p(lambda s, b: traffic.distinct_routes(_routes(s, b), ROUTES)),
+    "route_count": _p(lambda s, b: traffic.route_count(_routes(s, b), ROUTES)),
+    "top_routes": _p(lambda s, b: traffic.top_routes(_routes(s, b), ROUTES)),
     "cargo_counts": _p(lambda s, b: traffic.cargo_counts(_pp(s, b))),
     "avg_by_daytype": _p(lambda s, b: traffic.avg_by_daytype(_pp(s, b))),
     # SQL analytics

@@ -9,19 +9,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean
-from ..plans import preprocess as pre
 from ..plans import sql_queries as Q
 from ..plans import oracle as O
 from ..plans.export import portable
 from ..session import shared_path
 from . import sinks
-from .bindings import MOVEMENTS, movements_raw
+from .bindings import MOVEMENTS
 
 M = MOVEMENTS
 
 
 def _pp(spark, base):
-    return pre.preprocess(movements_raw(spark, base), M)
+    from ..plans.registry import _pp as memo_pp
+    return memo_pp(spark, base)
 
 
 def _reduced(spark, base):
