@@ -32,14 +32,19 @@ def traffic_windows(df: DataFrame, keys=WINDOW_KEYS) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(WINDOW_COUNT))
 
 
-def percentile_of(df: DataFrame, column: str, p: float) -> DataFrame:
-    """One-row frame: exact lower percentile (``percentile_disc``) of ``column``.
+def percentile_disc(column: str, p: float) -> Column:
+    """Aggregate: exact lower percentile of ``column``.
 
-    Equals ``approxQuantile([p], relativeError=0.0)``; NULL on empty input.
+    Equals ``approxQuantile([p], relativeError=0.0)``; NULL on empty input. Its
+    buffer is a value->frequency map, bounded by the number of distinct values.
     """
     quoted = "`" + column.replace("`", "``") + "`"
-    return df.select(
-        F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY {quoted})").alias("threshold"))
+    return F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY {quoted})")
+
+
+def percentile_of(df: DataFrame, column: str, p: float) -> DataFrame:
+    """One-row frame with ``threshold`` = :func:`percentile_disc` of ``column``."""
+    return df.select(percentile_disc(column, p).alias("threshold"))
 
 
 def peak_threshold(windows: DataFrame, percentile: float = FLIGHTS.peak_percentile) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import invalid_flag, present, qcol
 from ..spec import FLIGHTS, HOUR, LOCAL_TS, format_pattern
-from .label import percentile_of
+from .label import percentile_disc
 
 
 def _long_form(wide: DataFrame, names: list[str], key: str, value: str) -> DataFrame:
@@ -76,29 +76,34 @@ def hourly_volume(df: DataFrame) -> DataFrame:
             .groupBy(HOUR).agg(F.count(F.lit(1)).alias("flights_in_hour")))
 
 
+def _bounds(hourly: DataFrame, multiplier: float) -> DataFrame:
+    q = hourly.agg(percentile_disc("flights_in_hour", 0.25).alias("q1"),
+                   percentile_disc("flights_in_hour", 0.75).alias("q3"))
+    m = float(multiplier)
+    iqr = F.col("q3") - F.col("q1")
+    return q.select("q1", "q3", iqr.alias("iqr"),
+                    (F.col("q1") - F.lit(m) * iqr).alias("lower_bound"),
+                    (F.col("q3") + F.lit(m) * iqr).alias("upper_bound"))
+
+
 def iqr_bounds(df: DataFrame, multiplier: float = FLIGHTS.iqr_multiplier) -> DataFrame:
     """One row: q1, q3, iqr, lower_bound, upper_bound of the hourly volume.
 
-    Quartiles are exact lower percentiles (``percentile_disc``).
+    Both quartiles are exact lower percentiles (``percentile_disc``) from one aggregate.
     """
-    hourly = hourly_volume(df)
-    q1 = percentile_of(hourly, "flights_in_hour", 0.25).scalar()
-    q3 = percentile_of(hourly, "flights_in_hour", 0.75).scalar()
-    m = float(multiplier)
-    return hourly.sparkSession.range(1).select(
-        q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"),
-        (q1 - F.lit(m) * (q3 - q1)).alias("lower_bound"),
-        (q3 + F.lit(m) * (q3 - q1)).alias("upper_bound"))
+    return _bounds(hourly_volume(df), multiplier)
 
 
 def iqr_outliers(df: DataFrame, multiplier: float = FLIGHTS.iqr_multiplier) -> DataFrame:
-    """Hours whose volume falls outside the IQR fences, busiest first. Rows are kept upstream."""
+    """Hours whose volume falls outside the IQR fences, busiest first. Rows are kept upstream.
+
+    The fences come from one scalar subquery over the same hourly aggregate.
+    """
     hourly = hourly_volume(df)
-    bounds = iqr_bounds(df, multiplier)
-    lo = bounds.select("lower_bound").scalar()
-    hi = bounds.select("upper_bound").scalar()
-    return (hourly.filter((F.col("flights_in_hour") < lo) | (F.col("flights_in_hour") > hi))
-            .orderBy(F.col("flights_in_hour").desc(), F.col(HOUR)))
+    fences = _bounds(hourly, multiplier).select(F.struct("lower_bound", "upper_bound")).scalar()
+    n = F.col("flights_in_hour")
+    return (hourly.filter((n < fences.getField("lower_bound")) | (n > fences.getField("upper_bound")))
+            .orderBy(n.desc(), F.col(HOUR)))
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:
