@@ -166,6 +166,7 @@ FROM (""" + REDUCED + ")"),
     "label_windows": w(f"SELECT {DAY}, hour_of_day, day_of_week, terminal_group, flights_in_window, "
                        "peak_traffic_label FROM lw"),
     "label_rows": w("SELECT movement_id, terminal_group, flights_in_window, peak_traffic_label FROM m"),
+    "label_rows_join": w("SELECT movement_id, terminal_group, flights_in_window, peak_traffic_label FROM m"),
     "label_rows_window": w("SELECT movement_id, terminal_group, flights_in_window, peak_traffic_label FROM m"),
     "hourly_label_counts": w("SELECT hour_of_day, peak_traffic_label, COUNT(*) AS count FROM m GROUP BY 1, 2"),
     "label_distribution": w("SELECT peak_traffic_label, COUNT(*) AS count FROM m "

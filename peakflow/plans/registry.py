@@ -143,6 +143,8 @@ QUERIES: dict[str, Query] = {
     "label_windows": _p(lambda s, b: label.label_windows(_windows(s, b), M.peak_percentile)),
     "label_rows": _p(lambda s, b: label.label_rows(_dedup(s, b), M, "join").select(
         "movement_id", "terminal_group", "flights_in_window", "peak_traffic_label")),
+    "label_rows_join": _p(lambda s, b: label.label_rows(_dedup(s, b), M, method="join").select(
+        "movement_id", "terminal_group", "flights_in_window", "peak_traffic_label")),
     "label_rows_window": _p(lambda s, b: label.label_rows(_dedup(s, b), M, "window").select(
         "movement_id", "terminal_group", "flights_in_window", "peak_traffic_label")),
     "hourly_label_counts": _p(lambda s, b: label.hourly_label_counts(_pp(s, b))),
