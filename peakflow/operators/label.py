@@ -88,19 +88,35 @@ def label_rows(df: DataFrame, spec: MovementSpec = FLIGHTS, method: str = "join"
             LABEL, F.when(F.col(WINDOW_COUNT) >= thr, F.lit(1)).otherwise(F.lit(0)))
     if method != "join":
         raise ValueError(f"unknown method {method!r}")
-    windows = traffic_windows(base, keys)
-    right = windows.select(*[F.col(k).alias(f"__w_{k}") for k in keys], WINDOW_COUNT)
-    # Null-safe keys: equal results here (keys are never NULL after the parse
-    # filter), but no isnotnull() filters are inferred into the window branch,
-    # so it stays identical to the row side and the threshold subquery. The
-    # label is compared above the join, so the subquery runs after the shared
-    # scan/parse/dedupe shuffle exists and reuses it instead of racing it.
-    cond = [base[k].eqNullSafe(right[f"__w_{k}"]) for k in keys]
-    joined = base.join(right, cond, "left").select(base["*"], right[WINDOW_COUNT])
-    thr = threshold_value(windows, spec.peak_percentile)
+    # Join on non-nullable keys: each window key as (coalesce(key, default), isnull(key)).
+    # That is exactly null-safe equality, infers no isnotnull() filters (so the row
+    # side, window side and threshold subquery canonicalise alike and share the
+    # scan/parse/dedupe shuffle), and -- because the window side is grouped on the
+    # very same columns, so they are provably unique -- lets Catalyst drop the join
+    # entirely when a caller never reads the window count or label.
+    jk = _join_keys(base, keys)
+    rows = base.withColumns(jk)
+    windows = rows.groupBy(*jk).agg(F.count(F.lit(1)).alias(WINDOW_COUNT))
+    right = windows.select(*[F.col(k).alias(f"__w{k}") for k in jk], WINDOW_COUNT)
+    cond = [rows[k] == right[f"__w{k}"] for k in jk]
+    joined = rows.join(right, cond, "left").select(*[rows[f"`{c}`"] for c in base.columns], right[WINDOW_COUNT])
+    thr = windows.select(percentile_disc(WINDOW_COUNT, spec.peak_percentile)).scalar()
     return joined.withColumn(LABEL, F.when(F.col(WINDOW_COUNT) >= thr, F.lit(1)).otherwise(F.lit(0)))
 
 
+_KEY_DEFAULTS = {"date": "DATE'1970-01-01'", "string": "''"}
+
+
+def _join_keys(df: DataFrame, keys) -> dict:
+    out = {}
+    for i, k in enumerate(keys):
+        dtype = df.schema[k].dataType.simpleString()
+        default = F.expr(_KEY_DEFAULTS.get(dtype, "0")).cast(dtype)
+        out[f"__k{i}"] = F.coalesce(F.col(k), default)
+        out[f"__n{i}"] = F.col(k).isNull()
+    return out
+
+
 def hourly_label_counts(df: DataFrame) -> DataFrame:
     """Rows per (hour, label), ordered."""
     return (df.groupBy(HOUR, LABEL).agg(F.count(F.lit(1)).alias("count"))
