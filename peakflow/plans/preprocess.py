@@ -96,8 +96,10 @@ def reports(raw: DataFrame, spec: MovementSpec = FLIGHTS, result: DataFrame | No
         unparsed=quality.unparsed_count(parsed, LOCAL_TS),
         invalid_formats=quality.invalid_format_counts(before_rules, spec.format_rules),
         duplicates=quality.duplicate_report(dedup_input),
-        iqr_bounds=quality.iqr_bounds(quality.dedupe_rows(dedup_input), spec.iqr_multiplier),
-        iqr_outliers=quality.iqr_outliers(quality.dedupe_rows(dedup_input), spec.iqr_multiplier),
+        # The labelled result holds exactly the deduplicated rows (the label join
+        # never adds or drops rows), so the hourly fences are taken from it.
+        iqr_bounds=quality.iqr_bounds(result, spec.iqr_multiplier),
+        iqr_outliers=quality.iqr_outliers(result, spec.iqr_multiplier),
         volume=quality.volume_report(raw, result),
         hourly_labels=label.hourly_label_counts(result),
         label_distribution=label.label_distribution(result),

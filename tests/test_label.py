@@ -80,3 +80,12 @@ def test_scan_parse_and_dedupe_shared(spark):
     plan = pp._jdf.queryExecution().optimizedPlan().toString()
     assert "isnotnull(scheduled_date_local" not in plan
     pp.write.format("noop").mode("overwrite").save()
+
+
+def test_reports_iqr_from_result_equals_dedup(spark):
+    from peakflow.operators import quality
+    raw = movements_raw(spark, SF_SMALL)
+    rep = pre.reports(raw, MOVEMENTS)
+    direct = quality.iqr_bounds(pre.deduplicated(raw, MOVEMENTS))
+    assert rep.iqr_bounds.collect() == direct.collect()
+    assert pre.preprocess(raw, MOVEMENTS).count() == pre.deduplicated(raw, MOVEMENTS).count()
