@@ -65,3 +65,13 @@ def test_majority_and_baseline(spark):
     assert ml.majority_class(train).collect()[0]["label"] == 1.0
     m = ml.classification_metrics(ml.baseline_predictions(train, test)).collect()[0]
     assert m["accuracy"] == 0.25
+
+
+def test_forest_beats_baseline_and_recall_is_accuracy(spark):
+    from peakflow.plans.registry import all_queries
+    from conftest import SF_MID
+    m = {r["metric"]: r["value"] for r in all_queries()["ml_metrics_table"](spark, SF_MID).collect()}
+    assert m["test_accuracy"] > m["baseline_accuracy"]
+    assert abs(m["test_weighted_recall"] - m["test_accuracy"]) < 1e-12
+    assert 0.5 < m["test_roc_auc"] <= 1.0
+    assert m["train_rows"] + m["test_rows"] == 9800

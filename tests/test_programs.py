@@ -70,3 +70,13 @@ def test_run_all(spark):
     assert 0.0 <= metrics["test_roc_auc"] <= 1.0
     header = open(glob.glob(os.path.join(local, "preprocessed_dataset_csv", "part-*"))[0]).readline()
     assert '"movement_quality"' in header and '"airline.name"' in header
+
+
+def test_command_line(spark):
+    from peakflow.__main__ import main
+    src = shared_path(spark, "flights-raw-cli")
+    flights_raw(spark, SF_SMALL).write.parquet(src)
+    out = shared_path(spark, "cli")
+    main(["--input", src, "--output", out, "--programs", "preprocess,sql"])
+    lines = spark.read.text(out + "/sql_results_csv").collect()
+    assert any("Query 8: Top Peak Destinations During Peak Hours" in r["value"] for r in lines)
