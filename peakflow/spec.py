@@ -7,7 +7,7 @@ schema and on any other movement/event table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for equal results.
@@ -174,7 +174,6 @@ class MovementSpec:
     destination: str = "destination_airport_iata"
     status: str = "status"
     cargo: str | None = "isCargo"
-    array_column: str | None = "movement.quality"
     upper_columns: tuple[str, ...] = CODE_COLUMNS
     format_rules: tuple[tuple[str, int], ...] = FORMAT_RULES
     fill_unknown: tuple[str, ...] = FILL_UNKNOWN_COLUMNS
@@ -190,7 +189,6 @@ class MovementSpec:
     categorical_upper: tuple[str, ...] = CATEGORICAL_UPPER
     numeric_columns: tuple[str, ...] = NUMERIC_COLUMNS
     int_columns: tuple[str, ...] = INT_COLUMNS
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def with_(self, **changes) -> "MovementSpec":
         return replace(self, **changes)
