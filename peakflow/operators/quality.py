@@ -120,6 +120,15 @@ def duplicate_report(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicates_removed"))
 
 
+def duplicate_counts(before: DataFrame, deduplicated: DataFrame) -> DataFrame:
+    """One row like :func:`duplicate_report`, from two counts when the deduplicated
+    frame already exists (no second grouping shuffle over all rows)."""
+    nb = before.agg(F.count(F.lit(1))).scalar()
+    na = deduplicated.agg(F.count(F.lit(1))).scalar()
+    return before.sparkSession.range(1).select(
+        nb.alias("rows_before"), na.alias("rows_after"), (nb - na).alias("duplicates_removed"))
+
+
 def volume_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: rows and columns before and after a processing step.
 

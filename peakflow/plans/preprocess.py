@@ -95,7 +95,8 @@ def reports(raw: DataFrame, spec: MovementSpec = FLIGHTS, result: DataFrame | No
         missing_compare=quality.missing_compare(m_before, m_after),
         unparsed=quality.unparsed_count(parsed, LOCAL_TS),
         invalid_formats=quality.invalid_format_counts(before_rules, spec.format_rules),
-        duplicates=quality.duplicate_report(dedup_input),
+        # rows before dedupe: a count of the validated rows; after: the result's rows
+        duplicates=quality.duplicate_counts(dedup_input, result),
         # The labelled result holds exactly the deduplicated rows (the label join
         # never adds or drops rows), so the hourly fences are taken from it.
         iqr_bounds=quality.iqr_bounds(result, spec.iqr_multiplier),

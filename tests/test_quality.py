@@ -58,3 +58,8 @@ def test_volume_report(spark):
 def test_unparsed_count(spark):
     df = spark.createDataFrame([(1,), (None,)], "scheduled_local_ts int")
     assert tuple(quality.unparsed_count(df).collect()[0]) == (2, 1, 1)
+
+
+def test_duplicate_counts_equal_report(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "a int, b string")
+    assert quality.duplicate_counts(df, quality.dedupe_rows(df)).collect() == quality.duplicate_report(df).collect()
