@@ -8,6 +8,7 @@ small final task) and are unpivoted afterwards, instead of one job per column.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +64,52 @@ def invalid_format_counts(df: DataFrame, rules: Iterable[tuple[str, int | str]]
     return _long_form(wide, names, "column", "invalid_count")
 
 
+@dataclass
+class CleaningSummary:
+    """One aggregate over the parsed, unfiltered frame and the rule columns it counted.
+
+    ``frame`` has one row: ``rows_before``/``rows_after``/``rows_removed`` of
+    the unparsable-time filter and ``c<i>``, the rows that survive it but fail
+    format rule ``i``. Three reports that would each re-scan and re-parse the
+    raw table come from this one pass.
+    """
+
+    frame: DataFrame
+    rule_columns: list[str]
+
+    def unparsed(self) -> DataFrame:
+        """Same row as :func:`unparsed_count`."""
+        return self.frame.select("rows_before", "rows_after", "rows_removed")
+
+    def invalid_formats(self) -> DataFrame:
+        """Same rows as :func:`invalid_format_counts` on the filtered frame."""
+        if not self.rule_columns:
+            return self.frame.sparkSession.createDataFrame([], "column string, invalid_count long")
+        return _long_form(self.frame, self.rule_columns, "column", "invalid_count")
+
+    def duplicates(self, deduplicated: DataFrame) -> DataFrame:
+        """Same row as :func:`duplicate_counts`: the format rules and the UNKNOWN
+        fill never drop a row, so the rows that pass the time filter are the rows
+        before dedupe."""
+        nb = self.frame.select(F.col("rows_after")).scalar()
+        na = deduplicated.agg(F.count(F.lit(1))).scalar()
+        return self.frame.sparkSession.range(1).select(
+            nb.alias("rows_before"), na.alias("rows_after"), (nb - na).alias("duplicates_removed"))
+
+
+def cleaning_summary(parsed: DataFrame, rules: Iterable[tuple[str, int | str]] = FLIGHTS.format_rules,
+                     column: str = LOCAL_TS) -> CleaningSummary:
+    """Unparsed count and per-rule invalid counts from one global aggregate."""
+    ok = qcol(column).isNotNull()
+    rules = [(c, r) for c, r in rules if present(parsed, [c])]
+    frame = parsed.agg(
+        F.count(F.lit(1)).alias("rows_before"), F.count_if(ok).alias("rows_after"),
+        F.count_if(~ok).alias("rows_removed"),
+        *[F.count_if(ok & invalid_flag(qcol(c), format_pattern(r) if isinstance(r, int) else r)).alias(f"c{i}")
+          for i, (c, r) in enumerate(rules)])
+    return CleaningSummary(frame, [c for c, _ in rules])
+
+
 def unparsed_count(parsed: DataFrame, column: str = LOCAL_TS) -> DataFrame:
     """One row: rows before the unparsable-time filter, after it, and removed."""
     return parsed.agg(

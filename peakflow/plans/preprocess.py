@@ -82,21 +82,27 @@ class PreprocessReports:
     busiest_windows: DataFrame
 
 
-def reports(raw: DataFrame, spec: MovementSpec = FLIGHTS, result: DataFrame | None = None) -> PreprocessReports:
+def cleaning_summary(raw: DataFrame, spec: MovementSpec = FLIGHTS) -> quality.CleaningSummary:
+    """One aggregate over the parsed raw frame: unparsed, invalid-format and pre-dedupe counts."""
+    return quality.cleaning_summary(cleaned(raw, spec), spec.format_rules, LOCAL_TS)
+
+
+def reports(raw: DataFrame, spec: MovementSpec = FLIGHTS, result: DataFrame | None = None,
+            summary: quality.CleaningSummary | None = None) -> PreprocessReports:
+    """Lazy reports of ``preprocess(raw)``. Pass ``summary`` (e.g. a written
+    :func:`cleaning_summary` frame) so its three reports do not each re-run it."""
     result = result if result is not None else preprocess(raw, spec)
-    parsed = cleaned(raw, spec)
-    before_rules = timeparts.filter_unparsed(parsed, LOCAL_TS)
-    dedup_input = validated(raw, spec)
+    summary = summary if summary is not None else cleaning_summary(raw, spec)
     m_before = quality.missing_summary(raw)
     m_after = quality.missing_summary(result)
     return PreprocessReports(
         missing_before=m_before,
         missing_after=m_after,
         missing_compare=quality.missing_compare(m_before, m_after),
-        unparsed=quality.unparsed_count(parsed, LOCAL_TS),
-        invalid_formats=quality.invalid_format_counts(before_rules, spec.format_rules),
-        # rows before dedupe: a count of the validated rows; after: the result's rows
-        duplicates=quality.duplicate_counts(dedup_input, result),
+        unparsed=summary.unparsed(),
+        invalid_formats=summary.invalid_formats(),
+        # rows before dedupe: the rows that pass the time filter; after: the result's rows
+        duplicates=summary.duplicates(result),
         # The labelled result holds exactly the deduplicated rows (the label join
         # never adds or drops rows), so the hourly fences are taken from it.
         iqr_bounds=quality.iqr_bounds(result, spec.iqr_multiplier),

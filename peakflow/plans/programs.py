@@ -35,7 +35,11 @@ def run_preprocessing(raw: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS
     """Clean + label; writes the table, the quoted CSV and the quality reports. Returns the table."""
     pp = materialize(pre.preprocess(raw, spec), _out(out_dir, "preprocessed.parquet"))
     sinks.write_quoted_csv(pp, _out(out_dir, "preprocessed_dataset_csv"))
-    rep = pre.reports(raw, spec, pp)
+    # One pass over the raw table for the unparsed, invalid-format and
+    # pre-dedupe counts, written once so the three reports read one row.
+    summary = pre.cleaning_summary(raw, spec)
+    summary.frame = materialize(summary.frame, _out(out_dir, "reports/cleaning_summary.parquet"))
+    rep = pre.reports(raw, spec, pp, summary)
     for name, frame in vars(rep).items():
         sinks.write_csv(frame, _out(out_dir, f"reports/{name}"))
     return pp

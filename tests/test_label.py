@@ -89,3 +89,19 @@ def test_reports_iqr_from_result_equals_dedup(spark):
     direct = quality.iqr_bounds(pre.deduplicated(raw, MOVEMENTS))
     assert rep.iqr_bounds.collect() == direct.collect()
     assert pre.preprocess(raw, MOVEMENTS).count() == pre.deduplicated(raw, MOVEMENTS).count()
+
+
+def test_cleaning_summary_reports_equal_separate_passes(spark):
+    from peakflow.operators import quality, timeparts
+    from peakflow.spec import LOCAL_TS
+    raw = movements_raw(spark, SF_SMALL)
+    summary = pre.cleaning_summary(raw, MOVEMENTS)
+    parsed = pre.cleaned(raw, MOVEMENTS)
+    assert summary.unparsed().collect() == quality.unparsed_count(parsed, LOCAL_TS).collect()
+    separate = quality.invalid_format_counts(timeparts.filter_unparsed(parsed, LOCAL_TS), MOVEMENTS.format_rules)
+    assert sorted(summary.invalid_formats().collect()) == sorted(separate.collect())
+    dd = pre.deduplicated(raw, MOVEMENTS)
+    assert summary.duplicates(dd).collect() == quality.duplicate_counts(pre.validated(raw, MOVEMENTS), dd).collect()
+    # one scan of the raw table for all three counts
+    plan = summary.frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1

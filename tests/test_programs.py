@@ -68,6 +68,12 @@ def test_run_all(spark):
                .schema("metric string, value double").csv(out + "/ml_metrics").collect()}
     assert metrics["train_rows"] + metrics["test_rows"] == spark.read.parquet(out + "/preprocessed.parquet").count()
     assert 0.0 <= metrics["test_roc_auc"] <= 1.0
+    for name in ("cleaning_summary.parquet", "unparsed", "invalid_formats", "duplicates"):
+        assert glob.glob(os.path.join(local, "reports", name, "*")), name
+    unparsed = spark.read.option("header", True).option("inferSchema", True).csv(out + "/reports/unparsed").first()
+    dups = spark.read.option("header", True).option("inferSchema", True).csv(out + "/reports/duplicates").first()
+    assert dups["rows_before"] == unparsed["rows_after"] == raw.count() - unparsed["rows_removed"]
+    assert dups["rows_after"] == spark.read.parquet(out + "/preprocessed.parquet").count()
     header = open(glob.glob(os.path.join(local, "preprocessed_dataset_csv", "part-*"))[0]).readline()
     assert '"movement_quality"' in header and '"airline.name"' in header
 
