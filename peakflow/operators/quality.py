@@ -96,6 +96,16 @@ class CleaningSummary:
         return self.frame.sparkSession.range(1).select(
             nb.alias("rows_before"), na.alias("rows_after"), (nb - na).alias("duplicates_removed"))
 
+    def volume(self, after: DataFrame, cols_before: int) -> DataFrame:
+        """Same row as :func:`volume_report` of the raw frame (``rows_before`` is
+        the raw row count) and ``after``."""
+        nb = self.frame.select(F.col("rows_before")).scalar()
+        na = after.agg(F.count(F.lit(1))).scalar()
+        return self.frame.sparkSession.range(1).select(
+            nb.alias("rows_before"), na.alias("rows_after"), (nb - na).alias("rows_removed"),
+            F.lit(cols_before).cast("long").alias("cols_before"),
+            F.lit(len(after.columns)).cast("long").alias("cols_after"))
+
 
 def cleaning_summary(parsed: DataFrame, rules: Iterable[tuple[str, int | str]] = FLIGHTS.format_rules,
                      column: str = LOCAL_TS) -> CleaningSummary:

@@ -90,7 +90,7 @@ def cleaning_summary(raw: DataFrame, spec: MovementSpec = FLIGHTS) -> quality.Cl
 def reports(raw: DataFrame, spec: MovementSpec = FLIGHTS, result: DataFrame | None = None,
             summary: quality.CleaningSummary | None = None) -> PreprocessReports:
     """Lazy reports of ``preprocess(raw)``. Pass ``summary`` (e.g. a written
-    :func:`cleaning_summary` frame) so its three reports do not each re-run it."""
+    :func:`cleaning_summary` frame) so the four reports built on it do not each re-run it."""
     result = result if result is not None else preprocess(raw, spec)
     summary = summary if summary is not None else cleaning_summary(raw, spec)
     m_before = quality.missing_summary(raw)
@@ -107,7 +107,7 @@ def reports(raw: DataFrame, spec: MovementSpec = FLIGHTS, result: DataFrame | No
         # never adds or drops rows), so the hourly fences are taken from it.
         iqr_bounds=quality.iqr_bounds(result, spec.iqr_multiplier),
         iqr_outliers=quality.iqr_outliers(result, spec.iqr_multiplier),
-        volume=quality.volume_report(raw, result),
+        volume=summary.volume(result, len(raw.columns)),
         hourly_labels=label.hourly_label_counts(result),
         label_distribution=label.label_distribution(result),
         busiest_windows=label.busiest_windows(result),

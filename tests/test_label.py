@@ -102,6 +102,7 @@ def test_cleaning_summary_reports_equal_separate_passes(spark):
     assert sorted(summary.invalid_formats().collect()) == sorted(separate.collect())
     dd = pre.deduplicated(raw, MOVEMENTS)
     assert summary.duplicates(dd).collect() == quality.duplicate_counts(pre.validated(raw, MOVEMENTS), dd).collect()
-    # one scan of the raw table for all three counts
+    assert summary.volume(dd, len(raw.columns)).collect() == quality.volume_report(raw, dd).collect()
+    # one scan of the raw table for all the counts
     plan = summary.frame._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1
