@@ -8,7 +8,7 @@ small final task) and are unpivoted afterwards, instead of one job per column.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,22 +18,26 @@ from ..spec import FLIGHTS, HOUR, LOCAL_TS, format_pattern
 from .label import percentile_disc
 
 
-def _long_form(wide: DataFrame, names: list[str], key: str, value: str) -> DataFrame:
+def _long_form(wide: DataFrame, names: list[str], key: str, value: str, prefix: str = "c") -> DataFrame:
     """Unpivot a one-row frame whose columns are ``c0..cN`` back to ``names``."""
-    stacked = wide.unpivot([], [f"c{i}" for i in range(len(names))], key, value)
-    mapping = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(f"c{i}"), F.lit(n))])
+    stacked = wide.unpivot([], [f"{prefix}{i}" for i in range(len(names))], key, value)
+    mapping = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(f"{prefix}{i}"), F.lit(n))])
     return stacked.select(mapping[F.col(key)].alias(key), F.col(value).cast("long").alias(value))
 
 
+def _missing_long(wide: DataFrame, names: list[str], prefix: str = "c") -> DataFrame:
+    return (_long_form(wide, names, "column", "missing_count", prefix)
+            .filter(F.col("missing_count") > 0)
+            .orderBy(F.col("missing_count").desc(), F.col("column")))
+
+
 def missing_summary(df: DataFrame) -> DataFrame:
     """(column, missing_count) for columns with NULLs, most missing first. One scan."""
     names = list(df.columns)
     if not names:
         return df.sparkSession.createDataFrame([], "column string, missing_count long")
     wide = df.agg(*[F.count_if(qcol(n).isNull()).alias(f"c{i}") for i, n in enumerate(names)])
-    return (_long_form(wide, names, "column", "missing_count")
-            .filter(F.col("missing_count") > 0)
-            .orderBy(F.col("missing_count").desc(), F.col("column")))
+    return _missing_long(wide, names)
 
 
 def missing_compare(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -76,6 +80,13 @@ class CleaningSummary:
 
     frame: DataFrame
     rule_columns: list[str]
+    missing_columns: list[str] = field(default_factory=list)
+
+    def missing_before(self) -> DataFrame:
+        """Same rows as :func:`missing_summary` of the raw frame (``m<i>`` columns)."""
+        if not self.missing_columns:
+            return self.frame.sparkSession.createDataFrame([], "column string, missing_count long")
+        return _missing_long(self.frame, self.missing_columns, "m")
 
     def unparsed(self) -> DataFrame:
         """Same row as :func:`unparsed_count`."""
@@ -108,16 +119,23 @@ class CleaningSummary:
 
 
 def cleaning_summary(parsed: DataFrame, rules: Iterable[tuple[str, int | str]] = FLIGHTS.format_rules,
-                     column: str = LOCAL_TS) -> CleaningSummary:
-    """Unparsed count and per-rule invalid counts from one global aggregate."""
+                     column: str = LOCAL_TS, null_flags: Iterable[tuple[str, str]] = ()) -> CleaningSummary:
+    """Unparsed count and per-rule invalid counts from one global aggregate.
+
+    ``null_flags`` pairs a raw column name with a boolean column of ``parsed``
+    that is true where the raw value was NULL (tagged before cleaning), so the
+    raw missing summary is counted in the same pass.
+    """
     ok = qcol(column).isNotNull()
     rules = [(c, r) for c, r in rules if present(parsed, [c])]
+    null_flags = list(null_flags)
     frame = parsed.agg(
         F.count(F.lit(1)).alias("rows_before"), F.count_if(ok).alias("rows_after"),
         F.count_if(~ok).alias("rows_removed"),
         *[F.count_if(ok & invalid_flag(qcol(c), format_pattern(r) if isinstance(r, int) else r)).alias(f"c{i}")
-          for i, (c, r) in enumerate(rules)])
-    return CleaningSummary(frame, [c for c, _ in rules])
+          for i, (c, r) in enumerate(rules)],
+        *[F.count_if(F.col(flag)).alias(f"m{i}") for i, (_, flag) in enumerate(null_flags)])
+    return CleaningSummary(frame, [c for c, _ in rules], [c for c, _ in null_flags])
 
 
 def unparsed_count(parsed: DataFrame, column: str = LOCAL_TS) -> DataFrame:

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators import clean, label, quality, timeparts
+from ..functions.columns import qcol
 from ..spec import FLIGHTS, LOCAL_TS, MovementSpec
 
 
@@ -83,17 +84,24 @@ class PreprocessReports:
 
 
 def cleaning_summary(raw: DataFrame, spec: MovementSpec = FLIGHTS) -> quality.CleaningSummary:
-    """One aggregate over the parsed raw frame: unparsed, invalid-format and pre-dedupe counts."""
-    return quality.cleaning_summary(cleaned(raw, spec), spec.format_rules, LOCAL_TS)
+    """One aggregate over the parsed raw frame: raw missing values, unparsed,
+    invalid-format and pre-dedupe counts.
+
+    Raw NULLs are flagged before cleaning (which only rewrites string and code
+    columns, so the boolean flags pass through) and counted in the same pass.
+    """
+    flags = [(c, f"__raw_null_{i}") for i, c in enumerate(raw.columns)]
+    tagged = raw.withColumns({f: qcol(c).isNull() for c, f in flags})
+    return quality.cleaning_summary(cleaned(tagged, spec), spec.format_rules, LOCAL_TS, flags)
 
 
 def reports(raw: DataFrame, spec: MovementSpec = FLIGHTS, result: DataFrame | None = None,
             summary: quality.CleaningSummary | None = None) -> PreprocessReports:
     """Lazy reports of ``preprocess(raw)``. Pass ``summary`` (e.g. a written
-    :func:`cleaning_summary` frame) so the four reports built on it do not each re-run it."""
+    :func:`cleaning_summary` frame) so the reports built on it do not each re-run it."""
     result = result if result is not None else preprocess(raw, spec)
     summary = summary if summary is not None else cleaning_summary(raw, spec)
-    m_before = quality.missing_summary(raw)
+    m_before = summary.missing_before()
     m_after = quality.missing_summary(result)
     return PreprocessReports(
         missing_before=m_before,

@@ -35,8 +35,9 @@ def run_preprocessing(raw: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS
     """Clean + label; writes the table, the quoted CSV and the quality reports. Returns the table."""
     pp = materialize(pre.preprocess(raw, spec), _out(out_dir, "preprocessed.parquet"))
     sinks.write_quoted_csv(pp, _out(out_dir, "preprocessed_dataset_csv"))
-    # One pass over the raw table for the raw, unparsed, invalid-format and
-    # pre-dedupe row counts, written once so four reports read one row.
+    # One pass over the raw table for the raw missing values and the raw,
+    # unparsed, invalid-format and pre-dedupe row counts, written once so five
+    # reports read one row.
     summary = pre.cleaning_summary(raw, spec)
     summary.frame = materialize(summary.frame, _out(out_dir, "reports/cleaning_summary.parquet"))
     rep = pre.reports(raw, spec, pp, summary)

@@ -103,6 +103,7 @@ def test_cleaning_summary_reports_equal_separate_passes(spark):
     dd = pre.deduplicated(raw, MOVEMENTS)
     assert summary.duplicates(dd).collect() == quality.duplicate_counts(pre.validated(raw, MOVEMENTS), dd).collect()
     assert summary.volume(dd, len(raw.columns)).collect() == quality.volume_report(raw, dd).collect()
+    assert summary.missing_before().collect() == quality.missing_summary(raw).collect()
     # one scan of the raw table for all the counts
     plan = summary.frame._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1
