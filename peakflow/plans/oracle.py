@@ -225,6 +225,13 @@ FROM (SELECT hour_of_day, flights_in_hour, LAG(flights_in_hour) OVER (ORDER BY h
     AS peak_share_pct
 FROM m WHERE peak_traffic_label IS NOT NULL
 GROUP BY 1 HAVING COUNT(*) >= 650
+ORDER BY peak_share_pct DESC, airline_name LIMIT 10"""),
+    "sql_peak_share_default": w("""SELECT COALESCE(carrier_raw, 'UNKNOWN') AS airline_name, COUNT(*) AS total_flights,
+  CAST(SUM(CASE WHEN peak_traffic_label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS peak_flights,
+  ROUND(100.0 * CAST(SUM(CASE WHEN peak_traffic_label = 1 THEN 1 ELSE 0 END) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 2)
+    AS peak_share_pct
+FROM m WHERE peak_traffic_label IS NOT NULL
+GROUP BY 1 HAVING COUNT(*) >= 1000
 ORDER BY peak_share_pct DESC, airline_name LIMIT 10"""),
     "sql_top_dest_per_carrier": w("""SELECT airline_name, destination, peak_flight_count FROM (
   SELECT airline_name, destination, peak_flight_count,

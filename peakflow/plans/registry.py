@@ -179,6 +179,8 @@ QUERIES: dict[str, Query] = {
     "sql_rolling_avg": _p(lambda s, b: Q.sql_rolling_avg(_pp(s, b))),
     "sql_hourly_surge": _p(lambda s, b: Q.sql_hourly_surge(_pp(s, b))),
     "sql_peak_share": _p(lambda s, b: Q.sql_peak_share(_pp(s, b), M, PEAK_SHARE_TEST_FLOOR)),
+    # Q3 with the reference's own floor (1000 rows): empty at sf0.01, populated from sf0.1 up
+    "sql_peak_share_default": _p(lambda s, b: Q.sql_peak_share(_pp(s, b), M)),
     "sql_top_dest_per_carrier": _p(lambda s, b: Q.sql_top_dest_per_carrier(_pp(s, b), M)),
     "sql_grouping_sets": _p(lambda s, b: Q.sql_grouping_sets(_pp(s, b))),
     "sql_percentile_tier": _p(lambda s, b: Q.sql_percentile_tier(_pp(s, b))),
