@@ -70,12 +70,12 @@ def invalid_format_counts(df: DataFrame, rules: Iterable[tuple[str, int | str]]
 
 @dataclass
 class CleaningSummary:
-    """One aggregate over the parsed, unfiltered frame and the rule columns it counted.
+    """One aggregate over the parsed, unfiltered frame and the columns it counted.
 
     ``frame`` has one row: ``rows_before``/``rows_after``/``rows_removed`` of
-    the unparsable-time filter and ``c<i>``, the rows that survive it but fail
-    format rule ``i``. Three reports that would each re-scan and re-parse the
-    raw table come from this one pass.
+    the unparsable-time filter, ``c<i>``, the rows that survive it but fail
+    format rule ``i``, and ``m<i>``, the NULLs of raw column ``i``. Five reports
+    that would each re-scan the raw table come from this one pass.
     """
 
     frame: DataFrame
