@@ -6,7 +6,6 @@ Operators never create or configure a session; only these helpers do.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,26 +35,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+def scratch_base(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared (distributed) folder and is only
-    read here. Only when it is unset -- local tests -- a fresh folder is made.
+    Where a session leaves that setting out, the folder ``_scratch`` of its SQL
+    warehouse is used, which driver and executors share as well. A machine-local
+    temporary folder is never used.
     """
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (d or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")
+
+
+def _app_folder(spark: SparkSession) -> str:
+    """This application's own folder under the shared one; its file system deletes it when the JVM ends."""
+    folder = f"{scratch_base(spark)}/peakflow-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return folder
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Set the context's checkpoint folder, if nothing has, to this application's shared folder."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="peakflow-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(_app_folder(spark) + "/checkpoints")
+    return sc.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder, for sinks and materialised stages."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under this application's shared folder, for sinks and materialised stages."""
+    return f"{_app_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that ``shared_path`` named, once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
