@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from public_tokenizers import path as tokenizer_path
 
-from . import bpe
+from . import bpe, tokcount
 from .base import documents
 
 
@@ -12,7 +12,12 @@ def op10_bpe_roundtrip(spark, sf_dir):
     return bpe.op10(spark, documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op4_token_counts(spark, sf_dir):
+    return tokcount.op4(spark, documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
+    "op4_token_counts": op4_token_counts,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 
