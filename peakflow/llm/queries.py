@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from public_tokenizers import path as tokenizer_path
 
-from . import bpe, tokcount
+from . import bpe, secrets, shards, tokcount
 from .base import documents
 
 
+def op9_extendible_shards(spark, sf_dir):
+    return shards.op9(spark, documents(spark, sf_dir))
+
+
 def op10_bpe_roundtrip(spark, sf_dir):
     return bpe.op10(spark, documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op2_secret_scan(spark, sf_dir):
+    return secrets.op2(spark, documents(spark, sf_dir))
+
+
 def op4_token_counts(spark, sf_dir):
     return tokcount.op4(spark, documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op4_token_counts": op4_token_counts,
+    "op9_extendible_shards": op9_extendible_shards,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 
