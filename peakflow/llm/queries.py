@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from public_tokenizers import path as tokenizer_path
 
-from . import bpe, secrets, shards, tokcount
+from ..sources.tables import read_table
+from . import bpe, secrets, shards, tokcount, topk
 from .base import documents
 
 
@@ -16,6 +17,10 @@ def op10_bpe_roundtrip(spark, sf_dir):
     return bpe.op10(spark, documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op1_topk_search(spark, sf_dir):
+    return topk.op1(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_secret_scan(spark, sf_dir):
     return secrets.op2(spark, documents(spark, sf_dir))
 
@@ -25,10 +30,13 @@ def op4_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_topk_search": op1_topk_search,
     "op2_secret_scan": op2_secret_scan,
     "op4_token_counts": op4_token_counts,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_topk_search": topk.ORACLE,
+}
