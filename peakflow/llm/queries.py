@@ -5,10 +5,14 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 
 from ..sources.tables import read_table
-from . import bpe, secrets, shards, tokcount, topk
+from . import bpe, secrets, shards, tokcount, topk, toxicity
 from .base import documents
 
 
+def op5_toxicity(spark, sf_dir):
+    return toxicity.op5(spark, documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op9_extendible_shards(spark, sf_dir):
     return shards.op9(spark, documents(spark, sf_dir))
 
@@ -33,6 +37,7 @@ QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_secret_scan": op2_secret_scan,
     "op4_token_counts": op4_token_counts,
+    "op5_toxicity": op5_toxicity,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
