@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..session import shared_path
 from ..sources.tables import read_table
 
+BATCH_ROWS = 1000
+
 
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` has it (case aside)."""
@@ -22,8 +24,12 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once for each application."""
+    """Send this package to the executors' Python workers, once for each application.
+
+    Texts are long, so batches for Python take ``BATCH_ROWS`` rows, not the 10,000 of Spark's default.
+    """
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if getattr(sc, "_peakflow_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(peakflow.__file__))

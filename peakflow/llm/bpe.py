@@ -32,6 +32,8 @@ from .base import fresh, ship_code
 
 TABLE_WORDS = 200_000
 WORD_BYTES = 48
+#: Rows whose words are joined at once.
+SLICE_ROWS = 250
 
 WS = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 #: The byte-level split: clitics, letters, numbers, other signs, white space (its last character goes to what follows).
@@ -133,21 +135,29 @@ def _encode_batch(words: pa.Array, table: pa.Array, table_ids: pa.Array, name: s
     return _binary(out, total[cuts[1:]])
 
 
-def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with ``ids_col``: the ids of each text, packed as little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with ``ids_col``: the ids of each text, packed as little-endian unsigned 32-bit integers.
+
+    ``decoded_col`` adds their text as `decode` gives it, in the same pass.
+    """
     spark = docs.sparkSession
     special, name = added_tokens(tokenizer), ship(spark, tokenizer)
     table = spark.sparkContext.broadcast(_frequent(word_table(docs, tokenizer, text_col)))
     words_col = fresh(docs, "words")
-    kept = [c for c in docs.columns if c != ids_col]
+    kept = [c for c in docs.columns if c not in (ids_col, decoded_col)]
+    added = [ids_col] + [decoded_col] * bool(decoded_col)
     cols = docs.select(*kept, split_words(F.coalesce(F.col(text_col), F.lit("")), special).alias(words_col))
-    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(ids_col, T.BinaryType())])
+    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(ids_col, T.BinaryType()),
+                           *[T.StructField(c, T.StringType()) for c in added[1:]]])
 
     def run(batches):
         known, known_ids = table.value
-        for b in batches:
-            ids = _encode_batch(b.column(b.num_columns - 1), known, known_ids, name)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], ids.cast(pa.binary())], names=[*kept, ids_col])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                b = whole.slice(at, SLICE_ROWS)
+                ids = _encode_batch(b.column(b.num_columns - 1), known, known_ids, name)
+                new = [ids.cast(pa.binary())] + [_decode_batch(ids, name).cast(pa.string())] * (len(added) - 1)
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], *new], names=[*kept, *added])
 
     return cols.mapInArrow(run, schema)
 
@@ -210,7 +220,7 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str =
 
 
 def op10(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFrame:
-    both = decode(encode(docs.select("doc_id", "text"), tokenizer).drop("text"), tokenizer)
+    both = encode(docs.select("doc_id", "text"), tokenizer, decoded_col="decoded").drop("text")
     return both.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
