@@ -4,8 +4,8 @@ Terms are the distinct word beginnings of a text (``PREFIXES`` letters, so that
 share terms), hashed in Spark. The machine's score is a bias, a weight per term and
 the inner product of two terms' factors for each pair of terms, which learns that an insult
 next to a group's name counts more than both alone. It is fitted on a bounded sample
-of labelled rows in one task (AdaGrad, soft-thresholded weights) and keeps only terms
-that several sampled texts hold; scoring is a narrow pass over all texts.
+of labelled rows in one task (AdaGrad, from smoothed log-odds) and keeps only terms whose
+texts' labels differ clearly from the mean; scoring is a narrow pass over all texts.
 
 Defined results: a null text is the empty one, which scores the bias; a document with
 several labels is toxic if one says so; null labels and null ids train nothing; without
@@ -30,8 +30,11 @@ BITS = 22
 FACTORS = 4
 #: The most labelled rows that the model is fitted on.
 SAMPLE_ROWS = 16_000
-MIN_TEXTS, EPOCHS, BATCH, RATE = 3, 6, 256, 0.15
-L1, L2 = 4e-4, 1e-4
+#: A term is kept if so many sampled texts hold it, and its share of toxic ones is so many deviations off the mean.
+MIN_TEXTS, DEVIATIONS = 3, 4.0
+#: Texts by which a term's share of toxic ones is drawn to the mean in its first weight.
+PRIOR = 5.0
+EPOCHS, BATCH, RATE, FACTOR_RATE, DECAY, FACTOR_DECAY = 8, 64, 0.1, 0.02, 1e-5, 1e-4
 
 
 def terms(text: Column) -> Column:
@@ -90,13 +93,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def _logit(p):
+    return np.log(p / (1 - p))
+
+
 def fit(hashed: np.ndarray, cuts: np.ndarray, y: np.ndarray, seed: int = 7) -> Machine:
     """Fit a machine to texts whose terms are hashed[cuts[i] : cuts[i + 1]] and their labels 0 or 1."""
-    known, count = np.unique(hashed, return_counts=True)
-    known = known[count >= MIN_TEXTS]
+    known, at, count = np.unique(hashed, return_inverse=True, return_counts=True)
+    mean = (y.sum() + 0.5) / (len(y) + 1)
+    toxic = np.bincount(at, np.repeat(y, np.diff(cuts)), len(known))
+    off = (toxic - count * mean) / np.sqrt(count * mean * (1 - mean))
+    share = (toxic + PRIOR * mean) / (count + PRIOR)
+    told = (count >= MIN_TEXTS) & (np.abs(off) >= DEVIATIONS)
+    first = 0.5 * (_logit(share[told]) - _logit(mean))
     rnd = np.random.default_rng(seed)
-    rate = (y.sum() + 0.5) / (len(y) + 1)
-    m = Machine(known, float(np.log(rate / (1 - rate))), np.zeros(len(known) + 1), rnd.normal(0, 0.01, (len(known) + 1, FACTORS)))
+    m = Machine(known[told], float(_logit(mean)), np.concatenate([[0], first]), rnd.normal(0, 0.01, (told.sum() + 1, FACTORS)))
     m.v[0] = 0
     rows = m.rows(hashed)
     keep = rows > 0
@@ -113,16 +124,14 @@ def fit(hashed: np.ndarray, cuts: np.ndarray, y: np.ndarray, seed: int = 7) -> M
             err = (_sigmoid(margin) - y[docs]) / len(docs)
             used, inv = np.unique(r, return_inverse=True)
             e = np.repeat(err, size)
-            g = np.bincount(inv, e, len(used))
+            g = np.bincount(inv, e, len(used)) + DECAY * m.w[used]
             gw[used] += g * g
-            step = RATE / np.sqrt(gw[used])
-            w = m.w[used] - step * g
-            m.w[used] = np.sign(w) * np.maximum(np.abs(w) - step * L1, 0)
+            m.w[used] -= RATE / np.sqrt(gw[used]) * g
             sums, v = np.repeat(s, size, axis=0), m.v[r]
             for f in range(FACTORS):
-                g = np.bincount(inv, e * (sums[:, f] - v[:, f]), len(used)) + L2 * m.v[used, f]
+                g = np.bincount(inv, e * (sums[:, f] - v[:, f]), len(used)) + FACTOR_DECAY * m.v[used, f]
                 gv[used, f] += g * g
-                m.v[used, f] -= 0.02 / np.sqrt(gv[used, f]) * g
+                m.v[used, f] -= FACTOR_RATE / np.sqrt(gv[used, f]) * g
             gb += err.sum() ** 2
             m.bias -= RATE / np.sqrt(gb) * err.sum()
     m.v[0] = 0
