@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 
 from ..sources.tables import read_table
-from . import bpe, secrets, shards, tokcount, topk, toxicity
+from . import bpe, neardup, secrets, shards, tokcount, topk, toxicity
 from .base import documents
 
 
@@ -13,6 +13,10 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.op5(spark, documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op7_minhash_neardup(spark, sf_dir):
+    return neardup.op7(spark, documents(spark, sf_dir))
+
+
 def op9_extendible_shards(spark, sf_dir):
     return shards.op9(spark, documents(spark, sf_dir))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
+    "op7_minhash_neardup": op7_minhash_neardup,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
