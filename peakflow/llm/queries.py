@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 
 from ..sources.tables import read_table
-from . import bpe, neardup, secrets, shards, tokcount, topk, toxicity
+from . import bpe, decontam, linededup, neardup, secrets, shards, tokcount, topk, toxicity
 from .base import documents
 
 
@@ -13,10 +13,18 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.op5(spark, documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op6_benchmark_decontamination(spark, sf_dir):
+    return decontam.op6(spark, documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_minhash_neardup(spark, sf_dir):
     return neardup.op7(spark, documents(spark, sf_dir))
 
 
+def op8_line_dedup(spark, sf_dir):
+    return linededup.op8(spark, documents(spark, sf_dir))
+
+
 def op9_extendible_shards(spark, sf_dir):
     return shards.op9(spark, documents(spark, sf_dir))
 
@@ -42,7 +50,9 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_neardup": op7_minhash_neardup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
