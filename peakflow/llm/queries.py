@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 
 from ..sources.tables import read_table
-from . import bpe, decontam, linededup, neardup, secrets, shards, tokcount, topk, toxicity
+from . import bpe, decontam, linededup, neardup, pii, secrets, shards, tokcount, topk, toxicity
 from .base import documents
 
 
@@ -41,6 +41,10 @@ def op2_secret_scan(spark, sf_dir):
     return secrets.op2(spark, documents(spark, sf_dir))
 
 
+def op3_personal_data(spark, sf_dir):
+    return pii.op3(spark, documents(spark, sf_dir))
+
+
 def op4_token_counts(spark, sf_dir):
     return tokcount.op4(spark, documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
@@ -48,6 +52,7 @@ def op4_token_counts(spark, sf_dir):
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_secret_scan": op2_secret_scan,
+    "op3_personal_data": op3_personal_data,
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
