@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import written
+from .base import fresh, written
 
 WINDOW, STRIDE, LITERALS = 6, 4, 3
 COVER = 0.6
@@ -65,7 +65,7 @@ def windows(tokens: Column, stride: int) -> Column:
     return F.transform(starts, window)
 
 
-def _key(id_col: str, text_col: str) -> Column:
+def _key(id_col: Column | str, text_col: Column | str) -> Column:
     return F.struct(F.xxhash64(id_col, text_col).alias("a"), F.xxhash64(text_col, F.lit(1), id_col).alias("b"))
 
 
@@ -79,9 +79,9 @@ def _hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, n_matched, n_tokens, n_slots, exact) of each document that holds a benchmark item.
+    """(key, doc_id, item_id, n_matched, n_tokens, n_slots, exact) of each document that holds a benchmark item.
 
-    ``n_slots`` counts the placeholders at the item's matched places, ``exact`` says that every
+    ``key`` is a 128-bit hash of the document's id and text, ``n_slots`` counts the placeholders at the item's matched places, ``exact`` says that every
     value in them is the item's own.
     """
     items = written(benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text")).distinct()
@@ -108,8 +108,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_matched"), F.max("n_slots").alias("n_slots"),
         F.bool_and(F.forall("slots", lambda s: s["mine"] == s["theirs"])).alias("exact"))
     return whole.where(F.col("n_matched") >= COVER * F.col("n_tokens")).select(
-        "doc_id", F.col("item.id").alias("item_id"), "n_matched", "n_tokens", "n_slots", "exact").distinct()
+        "key", "doc_id", F.col("item.id").alias("item_id"), "n_matched", "n_tokens", "n_slots", "exact").distinct()
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item."""
+    key = fresh(docs, "key")
+    bad = contaminated(docs, benchmark, id_col, text_col).select(F.col("key").alias(key)).distinct()
+    own = _key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
+    return docs.withColumn(key, own).join(bad, key, "left_anti").select(*docs.columns)
 
 
 def op6(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    return contaminated(docs, benchmark)
+    return contaminated(docs, benchmark).drop("key")
