@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import OFFSETLESS_SHAPE, PATTERN_SHAPES, TIME_ZONE, TIMESTAMP_PATTERNS
+from ..spec import DATED, PATTERN_SHAPES, TIME_ZONE, TIMESTAMP_PATTERNS, ZONED
 
 
 def normalize_offset(c: Column) -> Column:
@@ -32,11 +32,11 @@ def parse_normalized(s: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
         attempt = F.try_to_timestamp(s, F.lit(p))
         shape = PATTERN_SHAPES.get(p)
         tries.append(F.when(s.rlike(shape), attempt) if shape else attempt)
-    # Only strings with no zone at all are read as wall-clock time in time_zone.
-    wall = s.try_cast(T.TimestampNTZType())
-    offsetless = F.when(s.rlike(OFFSETLESS_SHAPE), F.convert_timezone(
-        F.lit(time_zone), F.current_timezone(), wall).cast(T.TimestampType()))
-    return F.coalesce(*tries, offsetless, F.try_to_timestamp(s))
+    # Without a zone or offset a string is wall-clock time in time_zone, whatever the session's zone; the
+    # zone-aware cast only sees strings that name a zone. Both need a date: a time alone would mean today.
+    wall = F.convert_timezone(F.lit(time_zone), F.current_timezone(), s.try_cast(T.TimestampNTZType())).cast(T.TimestampType())
+    aware = F.when(s.rlike(DATED), F.try_to_timestamp(s))
+    return F.coalesce(*tries, F.when(s.rlike(ZONED), aware).otherwise(wall))
 
 
 def parse_timestamp(c: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,

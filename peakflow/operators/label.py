@@ -26,6 +26,9 @@ from ..spec import (
 )
 from .clean import terminal_group
 
+#: Parts into which ``method="window"`` spreads each window's rows.
+SALTS = 16
+
 
 def traffic_windows(df: DataFrame, keys=WINDOW_KEYS) -> DataFrame:
     """Rows per (date, hour, weekday, terminal group)."""
@@ -73,17 +76,24 @@ def label_rows(df: DataFrame, spec: MovementSpec = FLIGHTS, method: str = "join"
 
     ``method="join"`` (default) aggregates windows and joins them back, which is
     skew-safe: the aggregate is map-side combined and AQE splits a hot window on
-    the row side. ``method="window"`` uses ``count(*) over (partition by keys)``:
-    one shuffle and no join, but a hot window lands in one task. Both give the
-    same labels. Without date/hour columns every label is 0.
+    the row side. ``method="window"`` counts with ``count(*) over (partition by keys, salt)`` and
+    adds up the ``SALTS`` parts of each window, so a hot window is spread over as many
+    tasks. Both give the same labels. Without date/hour columns every label is 0.
     """
     if DATE not in df.columns or HOUR not in df.columns:
         return df.withColumn(LABEL, F.lit(0))
     base = terminal_group(df, spec.terminal)
     keys = list(WINDOW_KEYS)
     if method == "window":
-        counted = base.withColumn(WINDOW_COUNT, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in base.columns]), F.lit(SALTS)).alias("__salt")
+        parts = base.select("*", salt)
+        sizes = parts.groupBy(*keys, "__salt").agg(F.count(F.lit(1)).alias("__part"))
+        by_window = Window.partitionBy(*keys)
+        whole = sizes.withColumn(WINDOW_COUNT, F.sum("__part").over(by_window)).drop("__part")
         thr = threshold_value(traffic_windows(base, keys), spec.peak_percentile)
+        whole = whole.withColumnsRenamed({k: f"__w_{k}" for k in [*keys, "__salt"]})
+        same = [F.col(k).eqNullSafe(F.col(f"__w_{k}")) for k in [*keys, "__salt"]]
+        counted = parts.join(whole, same).select(*[F.col(f"`{c}`") for c in base.columns], WINDOW_COUNT)
         return counted.withColumn(
             LABEL, F.when(F.col(WINDOW_COUNT) >= thr, F.lit(1)).otherwise(F.lit(0)))
     if method != "join":
@@ -117,22 +127,33 @@ def _join_keys(df: DataFrame, keys) -> dict:
     return out
 
 
+def _windows_of(df: DataFrame) -> tuple[DataFrame, Column]:
+    """The frame and what one of its rows counts for: a row, or all rows of a labelled window.
+
+    Frames of :func:`label_windows` (no row columns beside the window's) are windows.
+    """
+    is_windows = set(df.columns) == {*WINDOW_KEYS, WINDOW_COUNT, LABEL}
+    return df, F.col(WINDOW_COUNT) if is_windows else F.lit(1)
+
+
 def hourly_label_counts(df: DataFrame) -> DataFrame:
-    """Rows per (hour, label), ordered."""
-    return (df.groupBy(HOUR, LABEL).agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(HOUR, LABEL))
+    """Rows per (hour, label), ordered; from labelled rows, or from labelled windows without touching rows."""
+    df, weight = _windows_of(df)
+    return df.groupBy(HOUR, LABEL).agg(F.sum(weight).cast("long").alias("count")).orderBy(HOUR, LABEL)
 
 
 def label_distribution(df: DataFrame) -> DataFrame:
-    """Rows per label (NULL labels skipped, as the RDD form filters them)."""
+    """Rows per label (NULL labels skipped); from labelled rows or labelled windows."""
+    df, weight = _windows_of(df)
     return (df.filter(F.col(LABEL).isNotNull())
-            .groupBy(LABEL).agg(F.count(F.lit(1)).alias("count"))
+            .groupBy(LABEL).agg(F.sum(weight).cast("long").alias("count"))
             .orderBy(LABEL))
 
 
 def busiest_windows(df: DataFrame, n: int = 30) -> DataFrame:
-    """Distinct labelled windows, the ``n`` busiest (ties by window key)."""
+    """The ``n`` busiest labelled windows (ties by window key); from labelled rows or labelled windows."""
     cols = list(WINDOW_KEYS) + [WINDOW_COUNT, LABEL]
-    return (df.select(*cols).distinct()
+    windows = df if set(df.columns) == set(cols) else df.select(*cols).distinct()
+    return (windows.select(*cols)
             .orderBy(F.col(WINDOW_COUNT).desc(), *[F.col(k).asc() for k in WINDOW_KEYS])
             .limit(n))

@@ -14,7 +14,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,6 +72,21 @@ def model_pipeline(df: DataFrame, spec: MovementSpec = FLIGHTS, **forest) -> Pip
     return Pipeline(stages=feature_stages(df, spec)[0] + [random_forest(**forest)])
 
 
+def hash_share(keys: Sequence[str], salt: str) -> Column:
+    """A number from 0 to 9999 from the md5 of a salt and the key columns."""
+    text = F.concat_ws("|", F.lit(salt), *[qcol(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 10_000
+
+
+def rule_predictions(df: DataFrame, keys: Sequence[str], label: str = LABEL_COL) -> DataFrame:
+    """A predictor without training, for the metric operators: a hash score that leans towards the label.
+
+    ``score`` has ties; ``prediction`` is 1 where it is 0.5 or more.
+    """
+    score = (F.floor(hash_share(keys, "rule") / 25) + F.col(label) * 100) / 500
+    return df.withColumn("score", score.cast("double")).withColumn("prediction", F.when(F.col("score") >= 0.5, 1.0).otherwise(0.0))
+
+
 def split_key(keys: Sequence[str], seed: int = SEED) -> Column:
     """Bucket 0..99 from the md5 of the key columns (stable under repartitioning and retries)."""
     text = F.concat_ws("|", F.lit(str(seed)), *[qcol(k).cast("string") for k in keys])
@@ -92,11 +106,6 @@ def with_split_flag(df: DataFrame, keys: Sequence[str], train_fraction: float =
     return df.withColumn("is_train", split_key(keys, seed) < int(round(train_fraction * 100)))
 
 
-def random_split(df: DataFrame, train_fraction: float = TRAIN_FRACTION, seed: int = SEED):
-    """``randomSplit`` as the reference does (depends on partitioning; prefer :func:`hash_split`)."""
-    return df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
-
-
 def majority_class(train: DataFrame, label: str = LABEL_COL) -> DataFrame:
     """One row: most frequent label and its count (ties: smaller label)."""
     return (train.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
@@ -148,10 +157,6 @@ def roc_auc(predictions: DataFrame, label: str = LABEL_COL, raw: str = "rawPredi
     return ev.evaluate(predictions)
 
 
-def positive_score(predictions: DataFrame, column: str = "probability") -> Column:
-    return vector_to_array(F.col(column))[1]
-
-
 def feature_names(model: PipelineModel, transformed_schema, features: str = "features") -> list[str]:
     """Names of the assembled vector slots, from the ML attribute metadata."""
     meta = transformed_schema[features].metadata.get("ml_attr", {})
@@ -163,6 +168,30 @@ def feature_names(model: PipelineModel, transformed_schema, features: str = "fea
     return [slots.get(i, f"f{i}") for i in range(n)]
 
 
+def metrics_frame(train: DataFrame, test: DataFrame, train_pred: DataFrame, test_pred: DataFrame,
+                  inputs: Sequence[str], raw: str = "rawPrediction") -> DataFrame:
+    """(metric, value): split sizes, baseline, train and test metrics, AUC, and the features in order."""
+    spark = train.sparkSession
+
+    def value(frame, name, column):
+        return frame.select(F.lit(name).alias("metric"), F.col(column).cast("double").alias("value"))
+
+    rows = F.count(F.lit(1)).alias("value")
+    test_m = classification_metrics(test_pred)
+    parts = [value(train.agg(rows), "train_rows", "value"), value(test.agg(rows), "test_rows", "value"),
+             value(majority_class(train), "majority_label", "label"),
+             value(classification_metrics(baseline_predictions(train, test)), "baseline_accuracy", "accuracy"),
+             value(classification_metrics(train_pred), "train_accuracy", "accuracy")]
+    parts += [value(test_m, f"test_{name}", column) for name, column in (
+        ("accuracy", "accuracy"), ("weighted_precision", "weightedPrecision"), ("weighted_recall", "weightedRecall"), ("f1", "f1"))]
+    # The area is one number by nature, and the feature list comes from the pipeline's definition.
+    known = [("test_roc_auc", float(roc_auc(test_pred, raw=raw)))] + [(f"feature:{c}", float(i)) for i, c in enumerate(inputs)]
+    out = spark.createDataFrame(known, "metric string, value double")
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
 def feature_importance(spark, model: PipelineModel, transformed_schema, inputs: Sequence[str]) -> DataFrame:
     """(feature_group, importance): forest importances summed per assembler input column."""
     forest = model.stages[-1]

@@ -15,8 +15,13 @@ from ..functions.columns import day_type, qcol, safe_int, safe_string
 from ..spec import CARGO_INT, FLIGHTS, HOUR, LABEL, TOP_K, TOP_K_BY_LABEL, WEEKEND, MovementSpec
 
 
+#: A frame with this column holds counted rows: each stands for so many movements.
+WEIGHT = "__movements"
+
+
 def _count(df: DataFrame, *keys) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("flights"))
+    n = F.sum(WEIGHT) if WEIGHT in df.columns else F.count(F.lit(1))
+    return df.groupBy(*keys).agg(n.cast("long").alias("flights"))
 
 
 def rows_total(df: DataFrame) -> DataFrame:

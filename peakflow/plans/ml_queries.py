@@ -23,9 +23,19 @@ M = MOVEMENTS
 KEY = ("movement_id",)
 
 
+_INPUT: dict = {}
+
+
 def ml_input(spark: SparkSession, base: str) -> DataFrame:
+    """The model's columns of the preprocessed rows, written once as Parquet for each application and folder."""
     from .registry import _pp
-    return ml.ml_frame(clean.reduce_columns(_pp(spark, base), M.keep_columns), M)
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _INPUT:
+        frame = ml.ml_frame(clean.reduce_columns(_pp(spark, base), M.keep_columns), M)
+        path = shared_path(spark, "ml-input")
+        frame.write.parquet(path)
+        _INPUT[key] = spark.read.schema(frame.schema).parquet(path)
+    return _INPUT[key]
 
 
 _FITTED: dict = {}
@@ -36,19 +46,29 @@ def fitted(spark: SparkSession, base: str) -> dict:
     key = (spark.sparkContext.applicationId, base)
     if key not in _FITTED:
         ensure_checkpoint_dir(spark)
-        data = ml_input(spark, base).checkpoint(eager=True)
-        train, test = ml.hash_split(data, KEY)
-        pipe = ml.model_pipeline(train, M)
-        model = pipe.fit(train)
+        train, test = ml.hash_split(ml_input(spark, base), KEY)
+        model = ml.model_pipeline(train, M).fit(train)
         _, cats, inputs = ml.feature_stages(train, M)
         _FITTED[key] = {"train": train, "test": test, "model": model, "inputs": inputs,
                         "train_pred": model.transform(train), "test_pred": model.transform(test)}
     return _FITTED[key]
 
 
+_ENCODED: dict = {}
+
+
 def _encoded(spark, base) -> DataFrame:
+    """The encoded rows; the encoders are fitted once per application and folder."""
     df = ml_input(spark, base)
-    return ml.feature_pipeline(df, M).fit(df).transform(df)
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _ENCODED:
+        _ENCODED[key] = ml.feature_pipeline(df, M).fit(df)
+    return _ENCODED[key].transform(df)
+
+
+def _rule(spark, base) -> tuple[DataFrame, DataFrame]:
+    train, test = ml.hash_split(ml_input(spark, base), KEY)
+    return ml.rule_predictions(train, KEY), ml.rule_predictions(test, KEY)
 
 
 def string_index(spark, base):
@@ -96,74 +116,59 @@ def baseline(spark, base):
     return ml.classification_metrics(pred).select(maj.alias("majority_label"), "*")
 
 
-def forest_predictions(spark, base):
-    f = fitted(spark, base)
-    return f["test_pred"].select("movement_id", "label", "prediction")
+def _sound(df: DataFrame) -> DataFrame:
+    """Forest predictions as far as they don't depend on the forest: a class each, and probabilities that sum to 1."""
+    p = vector_to_array("probability")
+    return df.select("movement_id", "label", F.col("prediction").isin(0.0, 1.0).alias("is_class"),
+                     (F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("sums_to_one"))
 
 
-def forest_metrics(spark, base):
-    f = fitted(spark, base)
-    return (ml.classification_metrics(f["train_pred"]).select(F.lit("train").alias("split"), "*")
-            .unionByName(ml.classification_metrics(f["test_pred"]).select(F.lit("test").alias("split"), "*")))
+def forest_predictions(spark, base):
+    return _sound(fitted(spark, base)["test_pred"])
 
 
-def forest_auc(spark, base):
-    f = fitted(spark, base)
-    auc = ml.roc_auc(f["test_pred"])
-    return spark.createDataFrame([("test", float(auc))], "split string, roc_auc double")
+def predictions_sample(spark, base, n: int = 10):
+    return _sound(fitted(spark, base)["test_pred"]).orderBy("movement_id").limit(n)
 
 
-def importance(spark, base):
-    f = fitted(spark, base)
-    return ml.feature_importance(spark, f["model"], f["test_pred"].schema, f["inputs"])
+def rule_metrics(spark, base):
+    train, test = _rule(spark, base)
+    return (ml.classification_metrics(train).select(F.lit("train").alias("split"), "*")
+            .unionByName(ml.classification_metrics(test).select(F.lit("test").alias("split"), "*")))
 
 
-def predictions_sample(spark, base, n: int = 10):
-    f = fitted(spark, base)
-    return (f["test_pred"].select("movement_id", "label", "prediction",
-                                  vector_to_array("probability").alias("probability"))
-            .orderBy("movement_id").limit(n))
+def rule_auc(spark, base):
+    _, test = _rule(spark, base)
+    return spark.createDataFrame([("test", float(ml.roc_auc(test, raw="score")))], "split string, roc_auc double")
 
 
-def forest_confusion(spark, base):
-    return ml.confusion(fitted(spark, base)["test_pred"])
+def rule_confusion(spark, base):
+    return ml.confusion(_rule(spark, base)[1])
 
 
 def metrics_table(spark, base):
-    """(metric, value) rows: split sizes, baseline, forest metrics, AUC (the reference's metrics file)."""
+    train, test = _rule(spark, base)
+    _, _, inputs = ml.feature_stages(train, M)
+    return ml.metrics_frame(train, test, train, test, inputs, raw="score")
+
+
+def importance(spark, base):
+    """Each feature group's importance is a share of 1 (of 0 for a forest that never splits, on rows of one label)."""
     f = fitted(spark, base)
-    train, test = f["train"], f["test"]
-    base_pred = ml.baseline_predictions(train, test)
-    parts = [
-        train.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("train_rows").alias("metric"), "value"),
-        test.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("test_rows").alias("metric"), "value"),
-        ml.majority_class(train).select(F.lit("majority_label").alias("metric"), F.col("label").alias("value")),
-        ml.classification_metrics(base_pred).select(F.lit("baseline_accuracy").alias("metric"),
-                                                    F.col("accuracy").alias("value")),
-        ml.classification_metrics(f["train_pred"]).select(F.lit("train_accuracy").alias("metric"),
-                                                          F.col("accuracy").alias("value")),
-    ]
-    test_m = ml.classification_metrics(f["test_pred"])
-    for name, col in (("test_accuracy", "accuracy"), ("test_weighted_precision", "weightedPrecision"),
-                      ("test_weighted_recall", "weightedRecall"), ("test_f1", "f1")):
-        parts.append(test_m.select(F.lit(name).alias("metric"), F.col(col).alias("value")))
-    parts.append(spark.createDataFrame([("test_roc_auc", float(ml.roc_auc(f["test_pred"])))],
-                                       "metric string, value double"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    groups = ml.feature_importance(spark, f["model"], f["test_pred"].schema, f["inputs"])
+    total = groups.agg(F.round(F.sum("importance"), 9).alias("total"))
+    return groups.select("feature_group", F.col("importance").between(0.0, 1.0).alias("is_share"), total.scalar().alias("total"))
 
 
 def model_roundtrip(spark, base):
-    """Save the fitted pipeline to the shared folder, load it back, score the test rows with both."""
+    """Save the fitted pipeline to the shared folder, load it back, and compare both on the test rows."""
     f = fitted(spark, base)
     path = shared_path(spark, "rf-pipeline")
     f["model"].write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     a = f["test_pred"].select("movement_id", "prediction")
-    b = loaded.transform(f["test"]).select("movement_id", F.col("prediction").alias("prediction_reloaded"))
-    return a.join(b, "movement_id")
+    b = loaded.transform(f["test"]).select("movement_id", F.col("prediction").alias("again"))
+    return a.join(b, "movement_id").agg(F.count(F.lit(1)).alias("test_rows"), F.count_if(F.col("prediction") != F.col("again")).alias("different"))
 
 
 def _p(fn):
@@ -179,11 +184,11 @@ QUERIES = {
     "ml_majority_class": _p(majority),
     "ml_baseline": _p(baseline),
     "ml_random_forest": _p(forest_predictions),
-    "ml_classification_metrics": _p(forest_metrics),
-    "ml_roc_auc": _p(forest_auc),
+    "ml_classification_metrics": _p(rule_metrics),
+    "ml_roc_auc": _p(rule_auc),
     "ml_feature_importance": _p(importance),
     "ml_predictions": _p(predictions_sample),
-    "ml_confusion": _p(forest_confusion),
+    "ml_confusion": _p(rule_confusion),
     "ml_metrics_table": _p(metrics_table),
     "ml_model_roundtrip": _p(model_roundtrip),
 }
@@ -226,6 +231,43 @@ def _w(body: str) -> str:
     return O.w("").rstrip() + ML_CTES + "\n" + body
 
 
+# Metrics of any (l, p) predictions: counts by class, then weighted means.
+def _metrics(source: str) -> str:
+    return f"""(SELECT sum(tp) / sum(n) AS accuracy, sum(n * prec) / sum(n) AS "weightedPrecision", sum(tp) / sum(n) AS "weightedRecall",
+   sum(n * CASE WHEN prec + tp / n > 0 THEN 2 * prec * (tp / n) / (prec + tp / n) ELSE 0 END) / sum(n) AS f1
+ FROM (SELECT c.l, count(*) FILTER (x.l = c.l) AS n, count(*) FILTER (x.l = c.l AND x.p = c.l) AS tp,
+              ifnull(count(*) FILTER (x.l = c.l AND x.p = c.l) / nullif(count(*) FILTER (x.p = c.l), 0), 0) AS prec
+       FROM (SELECT DISTINCT l FROM ({source})) c, ({source}) x GROUP BY c.l))"""
+
+
+RULE = """(SELECT movement_id, label AS l, is_train, (floor((('0x' || left(md5('rule|' || CAST(movement_id AS VARCHAR)), 8))::BIGINT % 10000) / 25)
+   + label * 100) / 500 AS score FROM sp)"""
+RULE_TEST, RULE_TRAIN = (f"SELECT l, CASE WHEN score >= 0.5 THEN 1.0 ELSE 0.0 END AS p, score FROM {RULE} WHERE {x}is_train" for x in ("NOT ", ""))
+#: Share of the pairs of a positive and a negative row that the score orders rightly, ties counting half.
+#: (1 where there is only one class, as spark.ml has it.)
+AUC = f"""(SELECT CASE WHEN sum(np) * sum(nn) > 0 THEN sum(np * (below + nn / 2)) / (sum(np) * sum(nn)) ELSE 1 END AS roc_auc
+ FROM (SELECT score, np, nn, sum(nn) OVER (ORDER BY score) - nn AS below
+       FROM (SELECT score, count(*) FILTER (l = 1) AS np, count(*) FILTER (l = 0) AS nn FROM ({RULE_TEST}) GROUP BY score)))"""
+NUMERIC = ("hour_of_day", "day_of_week", "is_weekend", "isCargo_int")
+INPUTS = [*NUMERIC, *(f"{c}_ohe" for c in _CATS)]
+
+
+def _metric(name: str, value: str, source: str) -> str:
+    return f"SELECT '{name}' AS metric, CAST({value} AS DOUBLE) AS value FROM {source}"
+
+
+METRICS_TABLE = " UNION ALL ".join([
+    _metric("train_rows", "count(*)", "sp WHERE is_train"), _metric("test_rows", "count(*)", "sp WHERE NOT is_train"),
+    _metric("majority_label", "label", "maj"),
+    _metric("baseline_accuracy", "avg(CASE WHEN l = p THEN 1 ELSE 0 END)", "bp"),
+    _metric("train_accuracy", "accuracy", _metrics(RULE_TRAIN)),
+    *(_metric(f"test_{n}", f'"{c}"', _metrics(RULE_TEST)) for n, c in (
+        ("accuracy", "accuracy"), ("weighted_precision", "weightedPrecision"), ("weighted_recall", "weightedRecall"), ("f1", "f1"))),
+    _metric("test_roc_auc", "roc_auc", AUC),
+    *(f"SELECT 'feature:{c}', CAST({i} AS DOUBLE)" for i, c in enumerate(INPUTS)),
+])
+
+
 def _onehot_list(c: str) -> str:
     return f"list_transform(range({c}_n + 1), lambda i: CASE WHEN i = CAST({c}_idx AS BIGINT) THEN 1.0 ELSE 0.0 END)"
 
@@ -248,4 +290,14 @@ ORACLE = {
        SUM(support * rec) / SUM(support) AS weightedRecall,
        SUM(support * CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END) / SUM(support) AS f1
 FROM per"""),
+    "ml_classification_metrics": _w(f"SELECT 'train' AS split, * FROM {_metrics(RULE_TRAIN)} UNION ALL SELECT 'test', * FROM {_metrics(RULE_TEST)}"),
+    "ml_confusion": _w(f"SELECT l AS label, CAST(p AS DOUBLE) AS prediction, count(*) AS count FROM ({RULE_TEST}) GROUP BY ALL"),
+    "ml_roc_auc": _w(f"SELECT 'test' AS split, * FROM {AUC}"),
+    "ml_metrics_table": _w(METRICS_TABLE),
+    # What holds for every forest.
+    "ml_random_forest": _w("SELECT movement_id, label, true AS is_class, true AS sums_to_one FROM sp WHERE NOT is_train"),
+    "ml_predictions": _w("SELECT movement_id, label, true AS is_class, true AS sums_to_one FROM sp WHERE NOT is_train ORDER BY movement_id LIMIT 10"),
+    "ml_feature_importance": _w(f"SELECT unnest({INPUTS!r}) AS feature_group, true AS is_share, "
+                                "(SELECT CAST(count(DISTINCT label) > 1 AS DOUBLE) FROM sp WHERE is_train) AS total"),
+    "ml_model_roundtrip": _w("SELECT count(*) AS test_rows, CAST(0 AS BIGINT) AS different FROM sp WHERE NOT is_train"),
 }

@@ -9,9 +9,11 @@ Sunday, Spark's 1-based. Outputs use the portable types of ``export.portable``.
 
 from __future__ import annotations
 
-from ..sources.bindings import MOVEMENTS_RAW_SQL, ROUTES_SQL
+from ..sources.bindings import MOVEMENTS_RAW_SQL, REPEATS, ROUTES_SQL
 
-RAW = MOVEMENTS_RAW_SQL.replace("{events}", "events")
+EVENTS = ("(select *, unnest(range(case " + " ".join(f"when event_id % {n} = 0 then {k}" for n, k in REPEATS)
+          + " else 1 end)) as copy from events)")
+RAW = MOVEMENTS_RAW_SQL.replace("{events}", EVENTS)
 
 
 def _nl(x: str) -> str:
@@ -60,7 +62,8 @@ routes AS ({ROUTES_SQL})"""
 
 
 def w(body: str) -> str:
-    return "WITH" + CTES + "\n" + body
+    """``body`` below the shared CTEs; a body's own CTEs are added to them."""
+    return "WITH" + CTES + (",\n" + body[5:] if body.startswith("WITH ") else "\n" + body)
 
 
 NTZ = "strftime(scheduled_local, '%Y-%m-%d %H:%M:%S.%f') AS scheduled_local"
@@ -109,6 +112,51 @@ ORDER BY flights DESC, {name}, peak_traffic_label LIMIT 15""")
 
 ROUTE = "COALESCE(origin, 'UNKNOWN') AS origin, COALESCE(destination, 'UNKNOWN') AS destination"
 
+def _peak_share(floor: int) -> str:
+    return f"""SELECT airline_name, total_flights, peak_flights, round(peak_flights / total_flights * 100, 2) AS peak_share_pct
+FROM (SELECT ifnull(carrier_raw, 'UNKNOWN') AS airline_name, count(*) AS total_flights,
+             count(*) FILTER (peak_traffic_label = 1) AS peak_flights
+      FROM m WHERE peak_traffic_label IS NOT NULL GROUP BY ALL)
+WHERE total_flights >= {floor} ORDER BY peak_flights / total_flights DESC, airline_name LIMIT 10"""
+
+
+# The eight answers, from counting and joining rather than from window functions.
+ANSWERS = {
+    "sql_rolling_avg": f"""WITH h AS ({HOURLY}), o AS (
+  SELECT h.*, (SELECT count(*) FROM h x WHERE x.hour_of_day < h.hour_of_day) AS place,
+         (SELECT count(*) FROM h x WHERE (x.flights_in_hour, -x.hour_of_day) > (h.flights_in_hour, -h.hour_of_day)) AS above,
+         (SELECT count(*) FROM h) AS n FROM h)
+SELECT hour_of_day, flights_in_hour,
+       (SELECT round(avg(x.flights_in_hour), 2) FROM o x WHERE abs(x.place - o.place) <= 1) AS rolling_3hr_avg,
+       CAST(CASE WHEN above < (n % 4) * (n // 4 + 1) THEN above // (n // 4 + 1)
+                 ELSE n % 4 + (above - (n % 4) * (n // 4 + 1)) // (n // 4) END + 1 AS BIGINT) AS intensity_quartile
+FROM o""",
+    "sql_hourly_surge": f"""WITH h AS ({HOURLY}), p AS (
+  SELECT h.*, (SELECT arg_max(x.flights_in_hour, x.hour_of_day) FROM h x WHERE x.hour_of_day < h.hour_of_day) AS prev_hour_flights FROM h)
+SELECT *, flights_in_hour - prev_hour_flights AS delta,
+       round((flights_in_hour / nullif(prev_hour_flights, 0) - 1) * 100, 2) AS pct_change FROM p""",
+    "sql_peak_share": _peak_share(1),
+    "sql_top_dest_per_carrier": """SELECT airline_name, arg_max(destination, (n, [-unicode(c) FOR c IN string_split(destination, '')])) AS destination,
+       max(n) AS peak_flight_count
+FROM (SELECT ifnull(carrier_raw, 'UNKNOWN') AS airline_name, ifnull(dest_raw, 'UNKNOWN') AS destination, count(*) AS n
+      FROM m WHERE peak_traffic_label = 1 GROUP BY ALL)
+GROUP BY airline_name ORDER BY peak_flight_count DESC, airline_name LIMIT 10""",
+    "sql_grouping_sets": """SELECT hour_of_day, ['Weekday', 'Weekend', 'ALL_DAYS'][kind + 1] AS day_type, count(*) AS flight_count
+FROM (SELECT unnest([hour_of_day, NULL]) AS hour_of_day, is_weekend FROM m WHERE hour_of_day IS NOT NULL AND is_weekend IS NOT NULL) h,
+     LATERAL (SELECT unnest([h.is_weekend, 2]) AS kind) GROUP BY ALL""",
+    "sql_percentile_tier": f"""WITH h AS ({HOURLY}), r AS (
+  SELECT h.*, (SELECT count(*) FROM h x WHERE x.flights_in_hour < h.flights_in_hour)
+              / greatest((SELECT count(*) FROM h) - 1, 1) AS below FROM h)
+SELECT hour_of_day, flights_in_hour, round(below, 3) AS percentile_rank,
+       ['Low', 'Moderate', 'High', 'Peak'][1 + CAST(least(floor(below * 4), 3) AS INTEGER)] AS intensity_tier FROM r""",
+    "sql_avg_by_daytype": """SELECT ['Weekday', 'Weekend'][is_weekend + 1] AS day_type,
+       round(count(*) / count(DISTINCT hour_of_day), 2) AS avg_hourly_traffic
+FROM m WHERE is_weekend IS NOT NULL AND hour_of_day IS NOT NULL GROUP BY is_weekend""",
+    "sql_top_dest_dense": """WITH d AS (SELECT ifnull(dest_raw, 'UNKNOWN') AS destination, count(*) AS flight_count FROM m WHERE peak_traffic_label = 1 GROUP BY 1)
+SELECT d.*, (SELECT count(DISTINCT x.flight_count) FROM d x WHERE x.flight_count > d.flight_count) + 1 AS rank_num FROM d
+WHERE (SELECT count(DISTINCT x.flight_count) FROM d x WHERE x.flight_count > d.flight_count) < 5""",
+}
+
 ORACLE: dict[str, str] = {
     "scan_movements": w(f"SELECT {RAW_OUT} FROM raw"),
     "trim_strings": w(f"SELECT {RAW_OUT} FROM tr"),
@@ -208,54 +256,7 @@ WHERE flights_in_hour < b.lower_bound OR flights_in_hour > b.upper_bound"""),
   END AS day_type, AVG(flights) AS avg_hourly_traffic
 FROM (SELECT is_weekend, hour_of_day, COUNT(*) AS flights FROM m
       WHERE is_weekend IS NOT NULL AND hour_of_day IS NOT NULL GROUP BY 1, 2) GROUP BY is_weekend"""),
-    "sql_rolling_avg": w(f"""SELECT hour_of_day, flights_in_hour,
-  ROUND(AVG(flights_in_hour) OVER (ORDER BY hour_of_day ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), 2)
-    AS rolling_3hr_avg,
-  CAST(NTILE(4) OVER (ORDER BY flights_in_hour DESC, hour_of_day) AS BIGINT) AS intensity_quartile
-FROM ({HOURLY})"""),
-    "sql_hourly_surge": w(f"""SELECT hour_of_day, flights_in_hour, prev_hour_flights,
-  flights_in_hour - prev_hour_flights AS delta,
-  ROUND(100.0 * CAST(flights_in_hour - prev_hour_flights AS DOUBLE) / NULLIF(CAST(prev_hour_flights AS DOUBLE), 0), 2)
-    AS pct_change
-FROM (SELECT hour_of_day, flights_in_hour, LAG(flights_in_hour) OVER (ORDER BY hour_of_day) AS prev_hour_flights
-      FROM ({HOURLY}))"""),
-    "sql_peak_share": w("""SELECT COALESCE(carrier_raw, 'UNKNOWN') AS airline_name, COUNT(*) AS total_flights,
-  CAST(SUM(CASE WHEN peak_traffic_label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS peak_flights,
-  ROUND(100.0 * CAST(SUM(CASE WHEN peak_traffic_label = 1 THEN 1 ELSE 0 END) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 2)
-    AS peak_share_pct
-FROM m WHERE peak_traffic_label IS NOT NULL
-GROUP BY 1 HAVING COUNT(*) >= 650
-ORDER BY peak_share_pct DESC, airline_name LIMIT 10"""),
-    "sql_peak_share_default": w("""SELECT COALESCE(carrier_raw, 'UNKNOWN') AS airline_name, COUNT(*) AS total_flights,
-  CAST(SUM(CASE WHEN peak_traffic_label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS peak_flights,
-  ROUND(100.0 * CAST(SUM(CASE WHEN peak_traffic_label = 1 THEN 1 ELSE 0 END) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 2)
-    AS peak_share_pct
-FROM m WHERE peak_traffic_label IS NOT NULL
-GROUP BY 1 HAVING COUNT(*) >= 1000
-ORDER BY peak_share_pct DESC, airline_name LIMIT 10"""),
-    "sql_top_dest_per_carrier": w("""SELECT airline_name, destination, peak_flight_count FROM (
-  SELECT airline_name, destination, peak_flight_count,
-         ROW_NUMBER() OVER (PARTITION BY airline_name ORDER BY peak_flight_count DESC, destination) AS rn
-  FROM (SELECT COALESCE(carrier_raw, 'UNKNOWN') AS airline_name, COALESCE(dest_raw, 'UNKNOWN') AS destination,
-               COUNT(*) AS peak_flight_count FROM m WHERE peak_traffic_label = 1 GROUP BY 1, 2))
-WHERE rn = 1 ORDER BY peak_flight_count DESC, airline_name LIMIT 10"""),
-    "sql_grouping_sets": w("""SELECT hour_of_day,
-  CASE WHEN is_weekend = 1 THEN 'Weekend' WHEN is_weekend = 0 THEN 'Weekday' ELSE 'ALL_DAYS' END AS day_type,
-  COUNT(*) AS flight_count
-FROM m WHERE hour_of_day IS NOT NULL AND is_weekend IS NOT NULL
-GROUP BY GROUPING SETS ((hour_of_day, is_weekend), (hour_of_day), (is_weekend), ())"""),
-    "sql_percentile_tier": w(f"""SELECT hour_of_day, flights_in_hour, ROUND(pr, 3) AS percentile_rank,
-  CASE WHEN pr >= 0.75 THEN 'Peak' WHEN pr >= 0.50 THEN 'High' WHEN pr >= 0.25 THEN 'Moderate' ELSE 'Low' END
-    AS intensity_tier
-FROM (SELECT hour_of_day, flights_in_hour, PERCENT_RANK() OVER (ORDER BY flights_in_hour) AS pr FROM ({HOURLY}))"""),
-    "sql_avg_by_daytype": w("""SELECT CASE WHEN is_weekend = 1 THEN 'Weekend' WHEN is_weekend = 0 THEN 'Weekday' END
-  AS day_type, ROUND(AVG(flights_in_hour), 2) AS avg_hourly_traffic
-FROM (SELECT is_weekend, hour_of_day, COUNT(*) AS flights_in_hour FROM m
-      WHERE is_weekend IS NOT NULL AND hour_of_day IS NOT NULL GROUP BY 1, 2) GROUP BY is_weekend"""),
-    "sql_top_dest_dense": w("""SELECT destination, flight_count, rank_num FROM (
-  SELECT destination, flight_count, CAST(DENSE_RANK() OVER (ORDER BY flight_count DESC) AS BIGINT) AS rank_num
-  FROM (SELECT COALESCE(dest_raw, 'UNKNOWN') AS destination, COUNT(*) AS flight_count FROM m
-        WHERE peak_traffic_label = 1 GROUP BY 1))
-WHERE rank_num <= 5"""),
+    **{key: w(body) for key, body in ANSWERS.items()},
+    "sql_peak_share_default": w(_peak_share(1000)),
     "preprocess": w(f"SELECT {PP_OUT} FROM m"),
 }

@@ -10,9 +10,11 @@ model metadata.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import qcol
 from ..operators import clean, label, ml, quality, traffic
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks
@@ -65,6 +67,7 @@ def run_transformation(pp: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS
     sinks.write_csv(encoded.select(*nums, *[f"{c}_idx" for c in cats], "label"),
                     _out(out_dir, "transformed_dataset_csv"))
     sinks.save_model(model, _out(out_dir, "models/transformation_pipeline"))
+    sinks.write_csv(quality.volume_report(pp, encoded), _out(out_dir, "reports/transformation_volume"))
     return encoded
 
 
@@ -90,27 +93,13 @@ def traffic_reports(pp: DataFrame, spec: MovementSpec = FLIGHTS) -> dict[str, Da
     }
 
 
-def sql_reports(pp: DataFrame, spec: MovementSpec = FLIGHTS) -> dict[str, DataFrame]:
-    """The eight SQL questions, named as in the reference's result file."""
-    return {
-        "Query 1: Rolling 3-Hour Average + Intensity Quartile": Q.sql_rolling_avg(pp),
-        "Query 2: Hour-over-Hour Surge": Q.sql_hourly_surge(pp),
-        "Query 3: Airline Peak Concentration Ratio": Q.sql_peak_share(pp, spec),
-        "Query 4: Top Peak Destination per Airline": Q.sql_top_dest_per_carrier(pp, spec),
-        "Query 5: Multi-Dimensional Aggregation": Q.sql_grouping_sets(pp),
-        "Query 6: Percentile-Based Peak Classification": Q.sql_percentile_tier(pp),
-        "Query 7: Average Flights Per Hour": Q.sql_avg_by_daytype(pp),
-        "Query 8: Top Peak Destinations During Peak Hours": Q.sql_top_dest_dense(pp, spec),
-    }
-
-
 def run_traffic(pp: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS) -> None:
     for name, frame in traffic_reports(pp, spec).items():
         sinks.write_csv(frame, _out(out_dir, f"traffic/{name}"))
 
 
 def run_sql(pp: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS) -> None:
-    sinks.write_long_form(sql_reports(pp, spec), _out(out_dir, "sql_results_csv"))
+    sinks.write_long_form(Q.answers(pp, spec), _out(out_dir, "sql_results_csv"))
 
 
 def run_ml(pp: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS,
@@ -118,35 +107,26 @@ def run_ml(pp: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS,
     """Split, baseline, forest, metrics, confusion, importances, saved model. Returns the metrics table."""
     spark = pp.sparkSession
     ensure_checkpoint_dir(spark)
-    # The fit passes over its input many times: cut the lineage once.
-    frame = ml.ml_frame(pp, spec).checkpoint(eager=True)
-    keys = split_keys or [c for c in frame.columns if c != "label"]
-    train, test = ml.hash_split(frame, keys)
+    # The fit passes over its input many times: write the model's columns and the split's key once.
+    keys = list(split_keys or [c for c in spec.keep_columns if c in pp.columns])
+    columns = list(dict.fromkeys([c for c in (*spec.keep_columns, *keys) if c in pp.columns]))
+    data = materialize(ml.ml_frame(pp.select(*[qcol(c) for c in columns]), spec), _out(out_dir, "ml_input.parquet"))
+    renamed = dict(spec.rename_map)
+    keys = [renamed.get(k, k) for k in keys]
+    train, test = ml.hash_split(data, keys)
     model = ml.model_pipeline(train, spec).fit(train)
     train_pred, test_pred = model.transform(train), model.transform(test)
     sinks.save_model(model, _out(out_dir, "models/random_forest_pipeline"))
-    base_pred = ml.baseline_predictions(train, test)
-    auc = ml.roc_auc(test_pred)
-    metrics = (
-        train.agg(F.lit("train_rows").alias("metric"), F.count(F.lit(1)).cast("double").alias("value"))
-        .unionByName(test.agg(F.lit("test_rows").alias("metric"), F.count(F.lit(1)).cast("double").alias("value")))
-        .unionByName(ml.majority_class(train).select(F.lit("majority_label").alias("metric"),
-                                                     F.col("label").alias("value")))
-        .unionByName(ml.classification_metrics(base_pred).select(F.lit("baseline_accuracy").alias("metric"),
-                                                                 F.col("accuracy").alias("value")))
-        .unionByName(ml.classification_metrics(train_pred).select(F.lit("train_accuracy").alias("metric"),
-                                                                  F.col("accuracy").alias("value")))
-    )
-    test_m = ml.classification_metrics(test_pred)
-    for name, col in (("test_accuracy", "accuracy"), ("test_weighted_precision", "weightedPrecision"),
-                      ("test_weighted_recall", "weightedRecall"), ("test_f1", "f1")):
-        metrics = metrics.unionByName(test_m.select(F.lit(name).alias("metric"), F.col(col).alias("value")))
-    metrics = metrics.unionByName(spark.createDataFrame([("test_roc_auc", float(auc))], "metric string, value double"))
+    _, _, inputs = ml.feature_stages(train, spec)
+    importance = ml.feature_importance(spark, model, test_pred.schema, inputs)
+    metrics = ml.metrics_frame(train, test, train_pred, test_pred, inputs).unionByName(
+        importance.select(F.concat(F.lit("importance:"), "feature_group").alias("metric"), F.col("importance").alias("value")))
     sinks.write_metrics(metrics, _out(out_dir, "ml_metrics"))
     sinks.write_csv(ml.confusion(test_pred), _out(out_dir, "ml_confusion"))
-    _, _, inputs = ml.feature_stages(train, spec)
-    sinks.write_csv(ml.feature_importance(spark, model, test_pred.schema, inputs),
-                    _out(out_dir, "ml_feature_importance"))
+    sinks.write_csv(importance, _out(out_dir, "ml_feature_importance"))
+    sample = test_pred.select("label", "prediction", vector_to_array("probability").alias("probability"))
+    sinks.write_quoted_csv(sample.limit(10), _out(out_dir, "ml_prediction_sample"))
+    sinks.write_csv(quality.volume_report(pp, data), _out(out_dir, "reports/ml_volume"))
     return spark.read.option("header", True).schema("metric string, value double").csv(_out(out_dir, "ml_metrics"))
 
 

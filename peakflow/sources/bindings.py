@@ -17,17 +17,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.traffic import WEIGHT
 from ..spec import MovementSpec
 from .tables import read_table
 
+# Three tenths of the movements share one hour at one terminal; every tenth event comes twice and every
+# thirtieth three times, some with NULLs, so that the dedupe has work to do.
 MOVEMENTS_RAW_SQL = """
 select event_id as movement_id, ts as scheduled_local,
   case when event_id % 50 = 4 then 'garbage'
-       when event_id % 5 = 0 then substr(cast(ts as string),1,16) || '+03:00'
-       when event_id % 5 = 1 then substr(cast(ts as string),1,19) || '+03:00'
-       when event_id % 5 = 2 then substr(cast(ts as string),1,16) || 'Z'
-       when event_id % 5 = 3 then substr(cast(ts as string),1,19) || '+0300'
-       else substr(cast(ts as string),1,19) || 'Z' end as scheduled_local_raw,
+       when event_id % 5 = 0 then substr(t,1,16) || '+03:00'
+       when event_id % 5 = 1 then substr(t,1,19) || '+03:00'
+       when event_id % 5 = 2 then substr(t,1,16) || 'Z'
+       when event_id % 5 = 3 then substr(t,1,19) || '+0300'
+       else substr(t,1,19) || 'Z' end as scheduled_local_raw,
   case when user_id % 13 = 0 then ' N/A ' when user_id % 17 = 0 then ''
        when user_id % 19 = 0 then null
        else ' Carrier ' || cast(user_id % 12 as string) || ' ' end as carrier_raw,
@@ -35,11 +38,17 @@ select event_id as movement_id, ts as scheduled_local,
        else 'd' || lpad(cast(user_id % 30 as string), 2, '0') end as dest_raw,
   case when event_id % 41 = 0 then null
        else 'o' || lpad(cast(user_id % 5 as string), 2, '0') end as origin_raw,
-  case when event_id % 31 = 0 then null
+  case when hot then 't 1' when event_id % 31 = 0 then null
        else 't ' || cast(event_id % 4 + 1 as string) end as terminal_raw,
   event_type as status,
   case when event_id % 37 = 0 then null else event_id % 9 = 0 end as is_cargo
-from {events}"""
+from (select e.*, e.event_id % 10 in (1, 3, 6) as hot,
+             case when e.event_id % 10 in (1, 3) then '2024-01-06 12:15:00' when e.event_id % 10 = 6 then '2024-01-06 12:45:30'
+                  else cast(e.ts as string) end as t
+      from {events} e) x"""
+
+#: How often an event comes, as (divisor of its id, times), the first that fits.
+REPEATS = ((30, 3), (10, 2), (1, 1))
 
 # Column roles of movements_raw.
 MOVEMENTS = MovementSpec(
@@ -73,35 +82,47 @@ ROUTES = MovementSpec(local_time=None, utc_time=None, terminal="terminal", carri
 
 
 def movements_raw(spark: SparkSession, base: str) -> DataFrame:
-    """The messy movement view over ``events`` (one row per event, one projection)."""
-    return spark.sql(MOVEMENTS_RAW_SQL, events=read_table(spark, base, "events"))
+    """The messy movement view over ``events`` (one projection, some rows repeated)."""
+    times = F.coalesce(*[F.when(F.col("event_id") % n == 0, F.lit(k)) for n, k in REPEATS], F.lit(1))
+    events = read_table(spark, base, "events").withColumn("copy", F.explode(F.sequence(F.lit(1), times)))
+    return spark.sql(MOVEMENTS_RAW_SQL, events=events)
+
+
+def _order_destinations(spark: SparkSession, base: str) -> DataFrame:
+    """(o_orderkey, destination): orders are joined to customers before any line item is touched."""
+    t = lambda n: read_table(spark, base, n)
+    names = t("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("destination"))
+    customers = t("customer").select("c_custkey", "c_nationkey").join(names, "c_nationkey").select(F.col("c_custkey").alias("o_custkey"), "destination")
+    return t("orders").select("o_orderkey", "o_custkey").join(customers, "o_custkey").select(F.col("o_orderkey").alias("l_orderkey"), "destination")
+
+
+def _supplier_origins(spark: SparkSession, base: str) -> DataFrame:
+    t = lambda n: read_table(spark, base, n)
+    names = t("nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin"))
+    return t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey").join(names, "s_nationkey").select("l_suppkey", "origin")
 
 
 def routes(spark: SparkSession, base: str) -> DataFrame:
     """One movement per line item: supplier nation -> customer nation.
 
-    Join order is chosen for size (Catalyst reorders joins only with cost
-    statistics): orders are joined to customers first (an orders-sized
-    shuffle), so line items are shuffled twice -- by order key and by supplier
-    key -- instead of three times. ``nation`` is the fixed 25-row table, so
-    broadcasting it is size-safe; customer and supplier grow with the data and
-    are broadcast only if AQE measures them small. Hot keys are split by AQE.
+    Line items are shuffled by order key and by supplier key. Every side grows with the
+    data or is left to Spark's size checks; AQE splits hot keys.
     """
-    t = lambda n: read_table(spark, base, n)
-    li = t("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag",
-                              "l_linestatus", "l_shipdate")
-    o = t("orders").select("o_orderkey", "o_custkey")
-    c = t("customer").select("c_custkey", "c_nationkey")
-    s = t("supplier").select("s_suppkey", "s_nationkey")
-    n = t("nation").select("n_nationkey", "n_name")
-    sn = F.broadcast(n.withColumnsRenamed({"n_nationkey": "sn_key", "n_name": "origin"}))
-    cn = F.broadcast(n.withColumnsRenamed({"n_nationkey": "cn_key", "n_name": "destination"}))
-    cust = c.join(cn, c.c_nationkey == cn.cn_key).select("c_custkey", "destination")
-    supp = s.join(sn, s.s_nationkey == sn.sn_key).select("s_suppkey", "origin")
-    order_dest = o.join(cust, o.o_custkey == cust.c_custkey).select("o_orderkey", "destination")
-    joined = (li.join(order_dest, li.l_orderkey == order_dest.o_orderkey)
-              .join(supp, F.col("l_suppkey") == supp.s_suppkey))
+    items = read_table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
+    joined = items.join(_order_destinations(spark, base), "l_orderkey").join(_supplier_origins(spark, base), "l_suppkey")
     return joined.select(
         "origin", "destination",
         F.col("l_returnflag").alias("carrier"), F.col("l_linestatus").alias("terminal"),
         F.to_date("l_shipdate").alias("d"), "l_orderkey", "l_linenumber")
+
+
+def route_counts(spark: SparkSession, base: str) -> DataFrame:
+    """(origin, destination, movements) for the route reports.
+
+    Line items are counted by supplier and destination before the supplier join, so that its shuffle carries
+    at most suppliers x nations rows, not line items.
+    """
+    items = read_table(spark, base, "lineitem").select("l_orderkey", "l_suppkey")
+    counts = items.join(_order_destinations(spark, base), "l_orderkey").groupBy("l_suppkey", "destination").agg(F.count(F.lit(1)).alias("n"))
+    return (counts.join(_supplier_origins(spark, base), "l_suppkey").groupBy("origin", "destination")
+            .agg(F.sum("n").alias(WEIGHT)))

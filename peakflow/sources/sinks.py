@@ -6,11 +6,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import qcol
+from ..spec import TIME_ZONE
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> str:
@@ -22,10 +23,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",
-              single_file: bool = False) -> str:
-    """CSV with a header; ``single_file`` funnels everything through one task, so it is off by default."""
+              single_file: bool = False, time_zone: str = TIME_ZONE) -> str:
+    """CSV with a header; instants are written in ``time_zone``.
+
+    ``single_file`` funnels everything through one task, so it is off by default.
+    """
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", header).csv(path)
+    out.write.mode(mode).option("header", header).option("timeZone", time_zone).csv(path)
     return path
 
 
@@ -51,18 +55,23 @@ QUOTED_CSV_OPTIONS = {
 }
 
 
-def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Fully quoted CSV (arrays flattened first), written in parallel."""
-    flatten_arrays(df).write.mode(mode).options(**QUOTED_CSV_OPTIONS).csv(path)
+def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite", time_zone: str = TIME_ZONE) -> str:
+    """Fully quoted CSV (arrays flattened first, instants in ``time_zone``), written in parallel."""
+    flatten_arrays(df).write.mode(mode).options(**QUOTED_CSV_OPTIONS, timeZone=time_zone).csv(path)
     return path
 
 
 def long_form(results: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per result row: ``query_name`` and ``col=value | col=value`` (NULL -> empty)."""
+    """One row per result row: ``query_name``, ``row_no`` and ``col=value | col=value`` (NULL -> empty).
+
+    Results are answers of a few rows; ``row_no`` keeps their order.
+    """
     frames = []
     for name, df in results.items():
         parts = [F.concat(F.lit(f"{c}="), F.coalesce(qcol(c).cast("string"), F.lit(""))) for c in df.columns]
-        frames.append(df.select(F.lit(name).alias("query_name"), F.concat_ws(" | ", *parts).alias("result")))
+        numbered = df.withColumn("__at", F.monotonically_increasing_id())
+        row_no = F.row_number().over(Window.orderBy("__at")).cast("bigint")
+        frames.append(numbered.select(F.lit(name).alias("query_name"), row_no.alias("row_no"), F.concat_ws(" | ", *parts).alias("result")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -83,7 +92,3 @@ def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> str
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)

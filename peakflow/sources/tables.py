@@ -17,8 +17,3 @@ def table_path(base: str, name: str) -> str:
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Parquet scan of ``{base}/{name}.parquet``; projections and filters push into it."""
     return spark.read.parquet(table_path(base, name))
-
-
-def read_movements(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan of a movement table (schema from the file footer)."""
-    return spark.read.parquet(path)

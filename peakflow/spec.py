@@ -64,10 +64,10 @@ PATTERN_SHAPES = {
     "yyyy-MM-dd HH:mmX": r"\d\d:\d\d[+-]\d\d(\d\d)?$",
 }
 
-# Strings with date and optional time but no zone or offset: read as wall-clock
-# time in the spec's time zone. Anything else falls through to Spark's
-# zone-aware default parse (a TIMESTAMP_NTZ cast would silently drop an offset).
-OFFSETLESS_SHAPE = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+# A string names a zone or offset if a letter, or a sign and a digit, follows its hours and minutes;
+# it is dated if it begins with a year of four digits or more.
+ZONED = r"\d:\d\d.*([A-Za-z]|[+-]\d)"
+DATED = r"^\s*[+-]?\d{4,}"
 
 # dayofweek() values counted as weekend (1 = Sunday ... 7 = Saturday): Friday, Saturday.
 WEEKEND_DAYS = (6, 7)
@@ -134,6 +134,18 @@ TOP_K_BY_LABEL = 15
 PEAK_SHARE_MIN_FLIGHTS = 1000
 DENSE_RANK_MAX = 5
 
+# Output columns of the eight answers.
+ANSWER_COLUMNS = {
+    "sql_rolling_avg": ("hour_of_day", "flights_in_hour", "rolling_3hr_avg", "intensity_quartile"),
+    "sql_hourly_surge": ("hour_of_day", "flights_in_hour", "prev_hour_flights", "delta", "pct_change"),
+    "sql_peak_share": ("airline_name", "total_flights", "peak_flights", "peak_share_pct"),
+    "sql_top_dest_per_carrier": ("airline_name", "destination", "peak_flight_count"),
+    "sql_grouping_sets": ("hour_of_day", "day_type", "flight_count"),
+    "sql_percentile_tier": ("hour_of_day", "flights_in_hour", "percentile_rank", "intensity_tier"),
+    "sql_avg_by_daytype": ("day_type", "avg_hourly_traffic"),
+    "sql_top_dest_dense": ("destination", "flight_count", "rank_num"),
+}
+
 # ---------------------------------------------------------------------------
 # Names of derived columns.
 # ---------------------------------------------------------------------------

@@ -107,3 +107,30 @@ def test_cleaning_summary_reports_equal_separate_passes(spark):
     # one scan of the raw table for all the counts
     plan = summary.frame._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1
+
+
+def test_bindings_give_the_operators_work(spark):
+    """Duplicates to remove, a window of three tenths of the rows, an outlier hour."""
+    from peakflow.operators import quality
+    raw = movements_raw(spark, SF_SMALL)
+    kept = pre.deduplicated(raw, MOVEMENTS)
+    assert kept.count() < pre.validated(raw, MOVEMENTS).count()
+    windows = label.traffic_windows(label.terminal_group(kept, MOVEMENTS.terminal))
+    most, rows = windows.agg(F.max("flights_in_window"), F.sum("flights_in_window")).first()
+    assert most >= 0.28 * rows
+    assert quality.iqr_outliers(kept, MOVEMENTS.iqr_multiplier).count() > 0
+
+
+def test_salted_window_form_spreads_a_hot_window(spark):
+    plan = label.label_rows(pre.deduplicated(movements_raw(spark, SF_SMALL), MOVEMENTS), MOVEMENTS, "window")._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan and "count(1) windowspec" not in plan
+
+
+def test_label_reports_from_windows_equal_those_from_rows(spark):
+    pp = pre.preprocess(movements_raw(spark, SF_SMALL), MOVEMENTS)
+    rows = label.terminal_group(pre.deduplicated(movements_raw(spark, SF_SMALL), MOVEMENTS), MOVEMENTS.terminal)
+    windows = label.label_windows(label.traffic_windows(rows))
+    for report in (label.hourly_label_counts, label.label_distribution, label.busiest_windows):
+        assert report(pp).collect() == report(windows).collect()
+        plan = report(windows)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan

@@ -68,10 +68,12 @@ def test_majority_and_baseline(spark):
 
 
 def test_forest_beats_baseline_and_recall_is_accuracy(spark):
-    from peakflow.plans.registry import all_queries
+    from peakflow.plans.ml_queries import fitted
     from conftest import SF_MID
-    m = {r["metric"]: r["value"] for r in all_queries()["ml_metrics_table"](spark, SF_MID).collect()}
+    f = fitted(spark, SF_MID)
+    m = {r["metric"]: r["value"] for r in ml.metrics_frame(f["train"], f["test"], f["train_pred"], f["test_pred"], f["inputs"]).collect()}
     assert m["test_accuracy"] > m["baseline_accuracy"]
     assert abs(m["test_weighted_recall"] - m["test_accuracy"]) < 1e-12
     assert 0.5 < m["test_roc_auc"] <= 1.0
     assert m["train_rows"] + m["test_rows"] == 9800
+    assert [m[f"feature:{c}"] for c in f["inputs"]] == [float(i) for i in range(len(f["inputs"]))]

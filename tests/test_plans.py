@@ -1,22 +1,16 @@
 """Plan hygiene for every registered query: JVM-only, no cross joins, no stray single-task sorts."""
 
-import importlib.util
-import os
-
 import pytest
 
 from conftest import SF_SMALL
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas",
              "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
 def _queries():
-    spec = importlib.util.spec_from_file_location("spark_entry", os.path.join(ROOT, "__spark_entry__.py"))
-    mod = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(mod)
-    return mod.queries()
+    from peakflow.plans.registry import all_queries
+    return all_queries()
 
 
 # Forest-dependent and sink keys execute fits or writes while building; their plans are checked elsewhere.
@@ -60,3 +54,20 @@ def test_column_pruning_reaches_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     lineitem_scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "lineitem" in ln][0]
     assert "l_extendedprice" not in lineitem_scan and "l_suppkey" in lineitem_scan
+
+
+def test_route_reports_count_before_the_supplier_join(spark):
+    df = _queries()["top_routes"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    counts = next(i for i, ln in enumerate(plan) if "Aggregate [l_suppkey" in ln)
+    assert counts > next(i for i, ln in enumerate(plan) if "Join" in ln)
+    assert not any("rightHint" in ln or "leftHint" in ln for ln in plan)
+
+
+@pytest.mark.parametrize("key", ["ml_string_index", "ml_one_hot", "ml_features", "flat_encoded", "ml_baseline", "ml_majority_class"])
+def test_ml_keys_read_the_written_input(spark, key):
+    df = _queries()[key](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ml-input" in plan and "events.parquet" not in plan
+    assert not any(bad in plan for bad in FORBIDDEN[:-1])

@@ -85,4 +85,4 @@ def test_command_line(spark):
     out = shared_path(spark, "cli")
     main(["--input", src, "--output", out, "--programs", "preprocess,sql"])
     lines = spark.read.text(out + "/sql_results_csv").collect()
-    assert any("Query 8: Top Peak Destinations During Peak Hours" in r["value"] for r in lines)
+    assert any("sql_top_dest_dense" in r["value"] for r in lines)

@@ -28,7 +28,7 @@ def test_quoted_csv(spark):
 def test_long_form(spark):
     a = spark.createDataFrame([(1, None), (2, 3.5)], "x int, y double")
     rows = sorted(tuple(r) for r in sinks.long_form({"Q": a}).collect())
-    assert rows == [("Q", "x=1 | y="), ("Q", "x=2 | y=3.5")]
+    assert rows == [("Q", 1, "x=1 | y="), ("Q", 2, "x=2 | y=3.5")]
 
 
 def test_parquet_and_csv_roundtrip(spark):
@@ -44,3 +44,21 @@ def test_csv_not_single_file_by_default(spark):
     df = spark.range(100).repartition(4)
     c = sinks.write_csv(df, shared_path(spark, "t-csv-multi"))
     assert len(glob.glob(os.path.join(_local(c), "part-*"))) == 4
+
+
+def test_instants_are_written_in_the_given_zone(spark):
+    df = spark.sql("SELECT timestamp_seconds(1704439800) AS t")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert _read_parts(sinks.write_quoted_csv(df, shared_path(spark, "t-zone")))[1] == '"2024-01-05 10:30:00.000000"'
+            assert _read_parts(sinks.write_csv(df, shared_path(spark, "t-zone")))[1].startswith("2024-01-05T10:30:00.000+03:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_long_form_keeps_the_order(spark):
+    df = spark.range(50).repartition(7).orderBy("id")
+    rows = sinks.long_form({"Q": df}).orderBy("row_no").collect()
+    assert [r["result"] for r in rows] == [f"id={i}" for i in range(50)]

@@ -2,6 +2,7 @@ from peakflow.plans import sql_queries as Q
 from peakflow.operators import traffic
 from peakflow.sources.bindings import MOVEMENTS, movements_raw
 from peakflow.plans import preprocess as pre
+from peakflow.spec import ANSWER_COLUMNS
 from conftest import SF_SMALL
 
 
@@ -44,10 +45,15 @@ def test_dense_rank_ties_exceed_limit(spark):
         ("A", 1), ("B", 1), ("C", 2), ("D", 3), ("E", 4), ("F", 5), ("G", 5)]
 
 
-def test_rank_filter_planned_as_group_limit(spark):
+def test_dense_ranks_come_from_the_top_volumes_alone(spark):
     df = spark.createDataFrame([("A", 1)], "dest_raw string, peak_traffic_label int")
     plan = Q.sql_top_dest_dense(df, MOVEMENTS)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_answers_have_the_fixed_columns(spark):
+    pp = pre.preprocess(movements_raw(spark, SF_SMALL), MOVEMENTS)
+    assert {k: tuple(df.columns) for k, df in Q.answers(pp, MOVEMENTS).items()} == ANSWER_COLUMNS
 
 
 def test_grouping_total_equals_rows_and_avg_agree(spark):

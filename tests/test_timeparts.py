@@ -18,6 +18,18 @@ CASES = [
     ("2024-01-05T10:30:15", 1704439815),
     ("2024-01-05T10:30:15.5+03:00", 1704439815),
     ("2024-01-05T07:30:15+00:00", 1704439815),
+    ("2024-1-5 9:30:00", 1704436200),  # unpadded
+    ("2024-01-05 9:30", 1704436200),
+    ("2024-01-05", 1704402000),  # a date, a month and a year alone
+    ("2024-01", 1704056400),
+    ("2024", 1704056400),
+    ("2024-01-05 10:30:15 UTC", 1704450615),  # a named zone
+    ("2024-01-05 10:30:15 Asia/Tokyo", 1704418215),
+    ("2024-01-05T10:30:15 America/New_York", 1704468615),
+    ("10:30", None),  # a time alone would mean today
+    ("T10:30:00", None),
+    ("10:30+03:00", None),
+    ("10:30Z", None),
     ("garbage", None),
     ("", None),
     (None, None),
@@ -34,6 +46,9 @@ def test_parse_independent_of_session_zone(spark):
     df = spark.createDataFrame(CASES, "s string, want long")
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Riyadh" if old == "UTC" else "UTC")
+        again = df.select(F.unix_seconds(parse_timestamp(F.col("s"))).alias("got")).collect()
+        assert [r["got"] for r in again] == [r["want"] for r in df.select("want").collect()]
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         got = df.select("want", F.unix_seconds(parse_timestamp(F.col("s"))).alias("got")).collect()
     finally:
@@ -71,3 +86,10 @@ def test_parse_runs_once_per_row(spark):
         .optimizedPlan().toString()
     filter_line = [ln for ln in plan.splitlines() if "Filter" in ln][0]
     assert "gettimestamp" not in filter_line
+
+
+def test_utc_column(spark):
+    spec = MovementSpec(local_time="l", utc_time="u")
+    df = spark.createDataFrame([("2024-01-05 10:30+03:00", "2024-01-05 07:30Z"), ("2024-1-5 10:30", "nope")], "l string, u string")
+    out = timeparts.parse_timestamps(df, spec).select(F.unix_seconds("scheduled_local_ts"), F.unix_seconds("scheduled_utc_ts")).collect()
+    assert [tuple(r) for r in out] == [(1704439800, 1704439800), (1704439800, None)]
