@@ -69,5 +69,5 @@ def test_ml_keys_read_the_written_input(spark, key):
     df = _queries()[key](spark, SF_SMALL)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ml-input" in plan and "events.parquet" not in plan
+    assert "FileScan parquet" in plan and "user_id" not in plan and "Expand" not in plan
     assert not any(bad in plan for bad in FORBIDDEN[:-1])
