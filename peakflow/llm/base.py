@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import gc
 import os
 import zipfile
 
-import peakflow
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import peakflow
+
 from ..session import shared_path
 from ..sources.tables import read_table
 
@@ -43,6 +48,23 @@ def ship_code(spark: SparkSession) -> None:
     sc._peakflow_shipped = True
 
 
+def tidy(run):
+    """A function for mapInArrow that gives freed memory back to the system when its task ends.
+
+    Python workers live on between tasks, and an executor's memory holds those of all its operators.
+    """
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            libc = ctypes.util.find_library("c")
+            if libc and hasattr(ctypes.CDLL(libc), "malloc_trim"):
+                ctypes.CDLL(libc).malloc_trim(0)
+    return wrapped
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
@@ -65,6 +87,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, h: Column, size: int) -> DataFrame:
+    """About ``size`` rows, or all if there are fewer: those of the lowest 64-bit hashes ``h``.
+
+    The cut comes from a count, so nothing is sorted and every task keeps its own share. Rows of one hash stay or
+    go together; the sample's size is a sum of independent choices, hence within a few square roots of ``size``.
+    """
+    n = df.count()
+    if n <= size:
+        return df
+    return df.where(h < F.lit(int(size / n * 2.0 ** 64) - (1 << 63)))
+
+
 def literal_array(values, kind: str) -> Column:
     """An array literal made from one string; the optimizer folds it to a constant."""
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import ship_code, written
+from .base import ship_code, tidy, written
 from .components import components
 
 BANDS, ROWS = 40, 5
@@ -130,7 +130,7 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
                  pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "print", "bands", "sig"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, print binary, bands array<long>, sig binary")
+        tidy(run), "doc_id long, n_shingles long, print binary, bands array<long>, sig binary")
 
 
 def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -150,7 +150,7 @@ def _alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
                 x = x.filter(pa.array(_agreement(a, b) >= AGREE))
                 yield x.select([0, 1])
 
-    return both.mapInArrow(run, "u long, v long").distinct()
+    return both.mapInArrow(tidy(run), "u long, v long").distinct()
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -170,7 +170,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, k: int, id_col: str, text_col: str)
             items = pa.array([s.tobytes() for s in shingle_sets(b.column(1), k)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), items], names=["node", "items"])
 
-    return wanted.mapInArrow(run, "node long, items binary")
+    return wanted.mapInArrow(tidy(run), "node long, items binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -183,7 +183,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     for a, b in zip(x.column(2).to_pylist(), x.column(3).to_pylist(), strict=True)]
             yield x.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, "u long, v long").distinct()
+    return both.mapInArrow(tidy(run), "u long, v long").distinct()
 
 
 def _units(open_buckets: DataFrame, members: DataFrame) -> DataFrame:
@@ -211,7 +211,7 @@ def _likely(units: DataFrame, sigs: DataFrame) -> DataFrame:
                 if got:
                     yield pa.RecordBatch.from_pylist([{"bucket": r["bucket"], "i": r["i"], "j": r["j"], "node": y["node"], "comp": y["comp"]} for y in got], schema=kind)
 
-    return grouped.mapInArrow(run, "bucket long, i int, j int, node long, comp long")
+    return grouped.mapInArrow(tidy(run), "bucket long, i int, j int, node long, comp long")
 
 
 def _unit_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -238,7 +238,7 @@ def _unit_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if links:
                     yield pa.RecordBatch.from_pylist(links)
 
-    return grouped.mapInArrow(run, "u long, v long").distinct()
+    return grouped.mapInArrow(tidy(run), "u long, v long").distinct()
 
 
 def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

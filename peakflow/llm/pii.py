@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import ship_code, texts, written
+from .base import ship_code, texts, tidy, written
 
 KINDS = ("email", "ip", "card", "phone", "context")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -123,7 +123,7 @@ def found(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, span), pa.array(cands, cand)],
                                              names=["rid", "doc_id", "base", "candidates"])
 
-    return docs.select("rid", "doc_id", "text").mapInArrow(run, f"rid long, doc_id long, base array<{SPAN}>, candidates array<{CANDIDATE}>")
+    return docs.select("rid", "doc_id", "text").mapInArrow(tidy(run), f"rid long, doc_id long, base array<{SPAN}>, candidates array<{CANDIDATE}>")
 
 
 def confident_patterns(edges: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import ship_code, texts
+from .base import ship_code, texts, tidy
 from .transducer import Transducer, scan
 
 CHUNK = 65_536
@@ -54,7 +54,7 @@ def chunk_maps(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
                 [*b.columns[:4], pa.array([m[0] for m in maps], pa.string()), pa.array(middle, pa.int64()), pa.array([m[2] for m in maps], pa.string())],
                 names=["rid", "doc_id", "n_bytes", "seq", "head", "middle", "tail"])
 
-    return parts.mapInArrow(run, "rid long, doc_id long, n_bytes long, seq int, head string, middle long, tail string")
+    return parts.mapInArrow(tidy(run), "rid long, doc_id long, n_bytes long, seq int, head string, middle long, tail string")
 
 
 def token_counts(docs: DataFrame, model: str, limit: int = LIMIT, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,10 +70,10 @@ def token_counts(docs: DataFrame, model: str, limit: int = LIMIT, chunk: int = C
             for maps in b.column(3).to_pylist():
                 maps.sort(key=lambda m: m["seq"] or 0)
                 head, middle, tail = scan([(m["head"], m["middle"], m["tail"]) for m in maps], t.line)
-                n.append(t.count(pa.array([head, tail], pa.string())).sum() + (middle or 0))
+                n.append(t.line(head) + (middle or 0) + t.line(tail))
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
-    return each.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
+    return each.mapInArrow(tidy(run), "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op4(spark: SparkSession, docs: DataFrame, model: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .base import ship_code, written
+from .base import ship_code, tidy, written
 
 K = 5
 QUERY_BLOCK, CANDIDATE_BLOCK, DIMENSIONS = 256, 2048, 8
@@ -130,7 +130,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q_rid[j], q_id[j], c_rid[at], c_id[at], score)],
                                                  names=["query_rid", "query_id", "rid", "vec_id", "score"])
 
-    best = pairs.mapInArrow(run, "query_rid long, query_id long, rid long, vec_id long, score long")
+    best = pairs.mapInArrow(tidy(run), "query_rid long, query_id long, rid long, vec_id long, score long")
     order = Window.partitionBy("query_rid").orderBy(F.desc("score"), "vec_id", "rid")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_rid", "query_id", "rank", "vec_id", "score")
 

@@ -23,12 +23,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import fresh, ship_code
+from .base import fresh, hash_sample, ship_code, tidy
 
 PREFIXES = (4, 6)
 BITS = 22
 FACTORS = 4
-#: The most labelled rows that the model is fitted on.
+#: The most labelled rows (but for the spread of a sample by hashes) that the model is fitted on.
 SAMPLE_ROWS = 16_000
 #: A term is kept if so many sampled texts hold it, and its share of toxic ones is so many deviations off the mean.
 MIN_TEXTS, DEVIATIONS = 3, 4.0
@@ -99,19 +99,25 @@ def _logit(p):
 
 def fit(hashed: np.ndarray, cuts: np.ndarray, y: np.ndarray, seed: int = 7) -> Machine:
     """Fit a machine to texts whose terms are hashed[cuts[i] : cuts[i + 1]] and their labels 0 or 1."""
-    known, at, count = np.unique(hashed, return_inverse=True, return_counts=True)
     mean = (y.sum() + 0.5) / (len(y) + 1)
-    toxic = np.bincount(at, np.repeat(y, np.diff(cuts)), len(known))
-    off = (toxic - count * mean) / np.sqrt(count * mean * (1 - mean))
-    share = (toxic + PRIOR * mean) / (count + PRIOR)
-    told = (count >= MIN_TEXTS) & (np.abs(off) >= DEVIATIONS)
-    first = 0.5 * (_logit(share[told]) - _logit(mean))
+    size = int(hashed.max(initial=-1)) + 1
+    count, toxic, bad = np.zeros(size), np.zeros(size), np.repeat(y > 0, np.diff(cuts))
+    parts = [slice(at, at + (1 << 20)) for at in range(0, len(hashed), 1 << 20)]
+    for p in parts:
+        count += np.bincount(hashed[p], minlength=size)
+        toxic += np.bincount(hashed[p][bad[p]], minlength=size)
+    off = (toxic - count * mean) / np.sqrt(np.maximum(count * mean * (1 - mean), 1e-9))
+    known = np.flatnonzero((count >= MIN_TEXTS) & (np.abs(off) >= DEVIATIONS))
+    share = (toxic[known] + PRIOR * mean) / (count[known] + PRIOR)
+    first = 0.5 * (_logit(share) - _logit(mean))
     rnd = np.random.default_rng(seed)
-    m = Machine(known[told], float(_logit(mean)), np.concatenate([[0], first]), rnd.normal(0, 0.01, (told.sum() + 1, FACTORS)))
+    m = Machine(known, float(_logit(mean)), np.concatenate([[0], first]), rnd.normal(0, 0.01, (len(known) + 1, FACTORS)))
     m.v[0] = 0
-    rows = m.rows(hashed)
-    keep = rows > 0
-    cuts, rows = np.concatenate([[0], np.cumsum(keep)])[cuts], rows[keep]
+    told = np.zeros(len(count), bool)
+    told[known] = True
+    # The other terms, nearly all, go before anything else is made of them.
+    keep = np.concatenate([np.zeros(0, bool), *(told[hashed[p]] for p in parts)])
+    cuts, rows = np.concatenate([[0], np.cumsum(keep)])[cuts], m.rows(hashed[keep])
     gw, gv, gb = np.full(len(m.w), 1e-6), np.full(m.v.shape, 1e-2), 1e-6
     for _ in range(EPOCHS):
         order = rnd.permutation(len(y))
@@ -145,13 +151,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> bytes | None:
-    """A fitted machine from the labelled rows that aren't held out, at most ``sample_rows`` of them."""
+    """A fitted machine from the labelled rows that aren't held out, about ``sample_rows`` of them at most."""
     ship_code(docs.sparkSession)
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = y.orderBy(F.xxhash64("doc_id")).limit(sample_rows)
+    sample = hash_sample(y, F.xxhash64("doc_id"), sample_rows)
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("terms"))
-            .join(F.broadcast(sample), "doc_id")  # no more rows than sample_rows
+            .join(F.broadcast(sample), "doc_id")  # about sample_rows rows at most
             .repartition(1).sortWithinPartitions("doc_id", F.xxhash64("terms")).select("toxic", "terms"))
 
     def run(batches):
@@ -165,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             raw = fit(np.concatenate(hashed), cuts, (np.concatenate(y) > 0).astype(float)).dump()
             yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], names=["model"])
 
-    got = rows.mapInArrow(run, "model binary").collect()  # one row
+    got = rows.mapInArrow(tidy(run), "model binary").collect()  # one row
     return bytes(got[0][0]) if got else None
 
 
@@ -187,7 +193,7 @@ def score(docs: DataFrame, model: bytes | None, text_col: str = "text", score_co
             p = machine.score(np.asarray(t.flatten()), cuts - cuts[0])
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p)], names=[*kept, score_col])
 
-    return docs.select(*kept, terms(F.col(text_col)).alias(fresh(docs, "terms"))).mapInArrow(run, schema)
+    return docs.select(*kept, terms(F.col(text_col)).alias(fresh(docs, "terms"))).mapInArrow(tidy(run), schema)
 
 
 def op5(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
