@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import literal_array, texts, written
+from .base import hash_sample, literal_array, texts, written
 from .spans import matches
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -33,7 +33,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(ALPHABET) + 1  # 0: the start of a string
 #: Counts that each pair has before training, random and ordinary.
 PRIOR = (4.0, 0.25)
-#: Ordinary strings are learnt from the texts of at most so many documents, random ones from so many distinct matches.
+#: Ordinary strings are learnt from the texts of about so many documents at most, random ones from so many distinct matches.
 SAMPLE_DOCS, SAMPLE_RANDOM = 4000, 50_000
 #: Natural logarithm of the odds against a run's being a secret.
 THRESHOLD = 10.0
@@ -76,12 +76,11 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 def labelled_samples(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(s, random): matches of the fixed patterns as random strings, words of sampled texts outside them as ordinary."""
-    random = (found.select(F.explode(F.concat(F.transform("assign", lambda m: m["g2"]), F.transform("access", lambda m: m["s"]),
-                                              F.transform("hex", lambda m: m["s"]))).alias("s")).distinct()
-              .orderBy(F.xxhash64("s"), "s").limit(SAMPLE_RANDOM))
-    some = docs.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(SAMPLE_DOCS)
-    words = some.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("s")).distinct()
-    return random.withColumn("random", F.lit(True)).unionByName(words.join(random, "s", "left_anti").withColumn("random", F.lit(False)))
+    strings = (found.select(F.explode(F.concat(F.transform("assign", lambda m: m["g2"]), F.transform("access", lambda m: m["s"]),
+                                               F.transform("hex", lambda m: m["s"]))).alias("s")).distinct())
+    random = hash_sample(strings, F.xxhash64("s"), SAMPLE_RANDOM)
+    words = hash_sample(docs, F.xxhash64("doc_id", "text"), SAMPLE_DOCS).select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("s")).distinct()
+    return random.withColumn("random", F.lit(True)).unionByName(words.join(strings, "s", "left_anti").withColumn("random", F.lit(False)))
 
 
 def _typed(c: str, rank: int) -> Column:
