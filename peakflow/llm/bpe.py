@@ -4,7 +4,7 @@ The words of all texts are split and counted in Spark (`word_table`); each disti
 is encoded once. The table's most frequent words, at most ``TABLE_WORDS`` of at most
 ``WORD_BYTES`` bytes each, go to every task; a batch's words are dictionary-encoded, joined
 to the table once per distinct word, and the ids are put back by position. Words outside
-that bounded part (most occur once in the corpus) are encoded where they stand, once per
+that bounded part (most occur once in the corpus and aren't in the table) are encoded where they stand, once per
 batch, so that nothing has to be shuffled by position and no word is left out.
 Decoding joins the ids to the pieces of the vocabulary.
 
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import fresh, ship_code
+from .base import fresh, ship_code, tidy, written
 
 TABLE_WORDS = 200_000
 WORD_BYTES = 48
@@ -78,25 +78,35 @@ def encode_words(words: pa.Array, name: str) -> list[np.ndarray]:
     return [np.asarray(e.ids, dtype="<u4") for e in got]
 
 
-def word_table(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
-    """(word, n, ids): each distinct word of all texts, its occurrences, and its ids packed as little-endian uint32."""
+def word_table(docs: DataFrame, tokenizer: str, text_col: str = "text", least: int = 1) -> DataFrame:
+    """(word, n, ids): each distinct word that the texts hold ``least`` times, its occurrences, and its ids packed as little-endian uint32."""
     spark = docs.sparkSession
     special, name = added_tokens(tokenizer), ship(spark, tokenizer)
     words = (docs.select(F.explode(split_words(F.coalesce(F.col(text_col), F.lit("")), special)).alias("word"))
-             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+             .groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least))
 
     def encode(batches):
         for b in batches:
             ids = [x.tobytes() for x in encode_words(b.column(0), name)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
-    return words.mapInArrow(encode, "word string, n long, ids binary")
+    return words.mapInArrow(tidy(encode), "word string, n long, ids binary")
 
 
 def _frequent(table: DataFrame) -> tuple[pa.Array, pa.Array]:
-    """The words that go to every task; their number and length are bounded, whatever the corpus."""
-    top = (table.where(F.octet_length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(TABLE_WORDS)
-           .select("word", "ids").toArrow())
+    """The words that go to every task; their number and length are bounded, whatever the corpus.
+
+    A histogram of the words' counts (in eighths of a power of two, so of a few hundred bars) says which counts
+    ``TABLE_WORDS`` leave room for.
+    """
+    short = table.where(F.octet_length("word") <= WORD_BYTES).withColumn("bar", F.floor(8 * F.log2("n")).cast("int"))
+    room, least = TABLE_WORDS, 1 << 30
+    for bar, n in sorted(map(tuple, short.groupBy("bar").count().collect()), reverse=True):
+        room -= n
+        if room < 0:
+            break
+        least = bar
+    top = short.where(F.col("bar") >= least).select("word", "ids").toArrow()
     return top["word"].combine_chunks().cast(pa.string()), top["ids"].combine_chunks().cast(pa.binary())
 
 
@@ -142,7 +152,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
     """
     spark = docs.sparkSession
     special, name = added_tokens(tokenizer), ship(spark, tokenizer)
-    table = spark.sparkContext.broadcast(_frequent(word_table(docs, tokenizer, text_col)))
+    table = spark.sparkContext.broadcast(_frequent(written(word_table(docs, tokenizer, text_col, least=2), "bpe-words")))
     words_col = fresh(docs, "words")
     kept = [c for c in docs.columns if c not in (ids_col, decoded_col)]
     added = [ids_col] + [decoded_col] * bool(decoded_col)
@@ -159,7 +169,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
                 new = [ids.cast(pa.binary())] + [_decode_batch(ids, name).cast(pa.string())] * (len(added) - 1)
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], *new], names=[*kept, *added])
 
-    return cols.mapInArrow(run, schema)
+    return cols.mapInArrow(tidy(run), schema)
 
 
 def _bytes_of_signs() -> dict[str, int]:
@@ -216,7 +226,7 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str =
             text = _decode_batch(b.column(at), name)
             yield pa.RecordBatch.from_arrays([*b.columns, text.cast(pa.string())], names=[*kept, text_col])
 
-    return df.select(*kept).mapInArrow(run, schema)
+    return df.select(*kept).mapInArrow(tidy(run), schema)
 
 
 def op10(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFrame:
