@@ -59,7 +59,7 @@ def assign(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     done, h, used = [], "h", 0
     while True:
-        bits = min(MOST, max(1, math.ceil(math.log2(max(total, 1) / limit)) if total > limit else 0) + SLACK)
+        bits = min(MOST, 64 - used, max(1, math.ceil(math.log2(max(total, 1) / limit)) if total > limit else 0) + SLACK)
         cell = _prefix(F.shiftleft(F.col(h), used), bits)
         rows = rows.withColumn("cell", cell)
         cells = rows.groupBy("base", "cell").agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("n"))
@@ -74,9 +74,13 @@ def assign(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col
         used = used + bits if h == "more" else 0
         rows = written(rest.select("rid", "doc_id", "n_bytes", "h", "more", F.concat("base", _bits(F.col("cell"), F.lit(bits))).alias("base")), "shard-rows")
         h = "more"
+        if used == 64:  # row numbers of one hash: each of these rows gets a shard of its own
+            own = F.concat("base", _bits(F.col("rid"), F.lit(63)))
+            done.append(rows.select("rid", "doc_id", "n_bytes", own.alias("shard"), F.col("n_bytes").alias("shard_bytes"), F.lit(1).cast("long").alias("shard_docs")))
+            break
     out = done[0]
     for d in done[1:]:
-        out = out.unionByName(d)
+        out = out.unionByName(d, allowMissingColumns=True)
     return out.select("rid", "doc_id", "n_bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", "shard_docs",
                       (F.col("n_bytes") > limit).alias("oversize"))
 
