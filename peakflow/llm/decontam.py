@@ -2,17 +2,18 @@
 
 Texts and benchmark items become token templates: numbers, names (capitalised words inside a
 sentence) and units turn into typed placeholders, other words lose case and punctuation.
-Windows of ``WINDOW`` template tokens are hash-joined. All windows of an item are taken and
-every ``STRIDE``-th of a document, so each shared run of WINDOW + STRIDE - 1 tokens
-meets. A hit fixes where the item would lie in the document; there
+Windows of ``WINDOW`` template tokens are hash-joined, all windows of an item with all windows of a
+document, so each shared run of WINDOW tokens meets; an item of fewer tokens is one window of its whole length.
+Documents' windows are first held against the benchmark's hashes alone (as many as the benchmark has tokens, broadcast),
+so only real hits are shuffled. A hit fixes where the item would lie in the document; there
 the templates are compared token by token, and the slots must be consistent: one
 value of the item stands for one value of the document and the other way round. A
 document holds an item if consistent places cover the ``COVER``-th part of its tokens, so copies
 and re-parameterised questions are found, and chance windows aren't.
 
 Defined results: a null text is the empty one; documents without a hit have no row; rows equal in
-id and text count once; items of fewer than WINDOW tokens, or with fewer than
-``LITERALS`` plain words in each window, match nothing; a null document id gives rows with a null id;
+id and text count once; windows of placeholders alone are no evidence, so items of nothing
+else match nothing; a null document id gives rows with a null id;
 items equal in id and text count once; empty tables give an empty one; other columns are not read.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .base import fresh, written
 
-WINDOW, STRIDE, LITERALS = 6, 4, 3
+WINDOW = 6
 COVER = 0.6
 
 NUMBER = r"(?<![\p{L}\p{N}])[-+$€£]?\p{N}(?:[\p{N}.,:/-]*\p{N})?"
@@ -53,16 +54,11 @@ def _is_slot(x: Column) -> Column:
     return x.isin("<num>", "<name>", "<unit>")
 
 
-def windows(tokens: Column, stride: int) -> Column:
-    """array<struct<at, h>>: hashes of the windows at every ``stride``-th place that hold enough plain words."""
-    starts = F.when(F.size(tokens) >= WINDOW, F.sequence(F.lit(0), F.size(tokens) - WINDOW, F.lit(stride))).otherwise(F.array().cast("array<int>"))
-
-    def window(i):
-        w = F.slice(tokens, i + 1, WINDOW)
-        plain = F.size(F.filter(w, lambda x: ~_is_slot(x)))
-        return F.struct(i.alias("at"), F.when(plain >= LITERALS, F.xxhash64(w)).alias("h"))
-
-    return F.transform(starts, window)
+def windows(tokens: Column, size: Column | int) -> Column:
+    """array<struct<at, h>>: hashes of the windows of ``size`` tokens at every place."""
+    size = F.lit(size) if isinstance(size, int) else size
+    starts = F.when(F.size(tokens) >= size, F.sequence(F.lit(0), F.size(tokens) - size)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(tokens, i + 1, size)).alias("h")))
 
 
 def _key(id_col: Column | str, text_col: Column | str) -> Column:
@@ -71,9 +67,15 @@ def _key(id_col: Column | str, text_col: Column | str) -> Column:
 
 def _hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(key, item, place): where an item would begin in a document, going by shared windows."""
-    known = written(items.select("item", F.inline(windows(F.col("tokens"), 1))).where("h IS NOT NULL"), "benchmark-windows")
-    seeds = (docs.select("key", template(F.col("text")).alias("tokens")).select("key", F.explode(windows(F.col("tokens"), STRIDE)).alias("w"))
-             .select("key", F.col("w.at").alias("i"), F.col("w.h").alias("h")).where("h IS NOT NULL"))
+    size = F.least(F.size("tokens"), F.lit(WINDOW))
+    plain = F.exists(F.slice("tokens", F.col("at") + 1, F.col("size")), lambda x: ~_is_slot(x))
+    known = written(items.where(F.size("tokens") > 0).withColumn("size", size).select("item", "size", "tokens", F.inline(windows(F.col("tokens"), F.col("size"))))
+                    .where(plain).select("item", "size", "at", "h"), "benchmark-windows")
+    sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # WINDOW of them at most
+    every = F.flatten(F.array(*[windows(F.col("tokens"), n) for n in sizes or [WINDOW]]))
+    seeds = (docs.select("key", template(F.col("text")).alias("tokens")).select("key", F.explode(every).alias("w"))
+             .select("key", F.col("w.at").alias("i"), F.col("w.h").alias("h"))
+             .join(F.broadcast(known.select("h").distinct()), "h", "left_semi"))
     return seeds.join(known, "h").select("key", "item", (F.col("i") - F.col("at")).alias("place")).distinct()
 
 

@@ -64,3 +64,16 @@ def test_table_against_brute_force(spark):
     for d, i in got - whole:  # at most some words differ
         have = set(docs[d].split())
         assert sum(w in have for w in items[i].split()) >= decontam.COVER * len(items[i].split()) - 2
+
+
+def test_short_and_edited_items_are_found_at_every_place(spark):
+    rnd = random.Random(21)
+    items = [prose(n, rnd) for n in (3, 6, 7, 8, 40)] + ["Is 4 + 5 * 6 equal to 34 or 35 ?"]
+    edited = items[4].split()
+    for k in range(7, 40, 8):  # every 8th word
+        edited[k] = "changed"
+    parts = [*items[:4], " ".join(edited), items[5]]
+    want = [(8 * k + at, k) for k in range(6) for at in range(8)]
+    texts = [" ".join([*prose(at, rnd).split(), parts[k], *prose(9, rnd).split()]) for k in range(6) for at in range(8)]
+    got = {(d, i) for d, i, _ in result(spark, texts, items)}
+    assert set(want) <= got and not any(i > 0 and i != d // 8 for d, i in got)
