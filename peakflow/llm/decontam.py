@@ -7,7 +7,9 @@ document, so each shared run of WINDOW tokens meets; an item of fewer tokens is
 Documents' windows are first held against the benchmark's hashes alone (as many as the benchmark has tokens, broadcast),
 so only real hits are shuffled. A hit fixes where the item would lie in the document; there
 the templates are compared token by token, and the slots must be consistent: one
-value of the item stands for one value of the document and the other way round. A
+value of the item, signs around it and case aside, stands for one value of the document (two values may become one).
+An item's value that the document holds at one place and has changed at another is an edit, and counts as
+matched only where it is the item's own; a value that was replaced by several others makes the place void. A
 document holds an item if consistent places cover the ``COVER``-th part of its tokens, so copies
 and re-parameterised questions are found, and chance windows aren't.
 
@@ -98,14 +100,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # Places of the item that lie inside the document and hold the same template token there.
     at = F.filter(F.sequence(F.lit(0), F.size("item_tokens") - 1), lambda j: (F.get("item_tokens", j) == F.get("tokens", F.col("place") + j)))
     placed = both.select("key", "doc_id", "item", F.size("item_tokens").alias("n_tokens"), "item_tokens", "item_values", "values", "place", at.alias("at"))
-    slots = F.array_distinct(F.transform(F.filter("at", lambda j: _is_slot(F.get("item_tokens", j))), lambda j: F.struct(
-        F.get("item_values", j).alias("mine"), F.get("values", F.col("place") + j).alias("theirs"))))
-    checked = placed.select("key", "doc_id", "item", "n_tokens", "at", slots.alias("slots"), F.size(F.filter("at", lambda j: _is_slot(F.get("item_tokens", j)))).alias("n_slots"))
-
-    def different(field):
-        return F.size(F.array_distinct(F.transform("slots", lambda s: s[field])))
-
-    checked = checked.where((different("mine") == F.size("slots")) & (different("theirs") == F.size("slots")))
+    def value(column, j):
+        raw = F.get(column, j)
+        bare = F.rtrim(F.ltrim(F.lower(raw), F.lit(SIGNS.replace("-", ""))), F.lit(SIGNS))  # 1.5 isn't 15, and -3 isn't 3
+        return F.when(bare == "", raw).otherwise(bare)
+
+    slots = F.transform(F.filter("at", lambda j: _is_slot(F.get("item_tokens", j))), lambda j: F.struct(
+        j.alias("j"), value("item_values", j).alias("mine"), value("values", F.col("place") + j).alias("theirs")))
+    placed = placed.select("key", "doc_id", "item", "n_tokens", "at", slots.alias("slots"))
+    # What each value of the item became, apart from itself; and the values that are kept somewhere.
+    kept = F.array_distinct(F.transform(F.filter("slots", lambda s: s["mine"] == s["theirs"]), lambda s: s["mine"]))
+    new = F.array_distinct(F.transform(F.filter("slots", lambda s: s["mine"] != s["theirs"]), lambda s: F.struct(s["mine"].alias("mine"), s["theirs"].alias("theirs"))))
+    placed = placed.withColumns({"kept": kept, "new": new})
+    edits = F.transform(F.filter("slots", lambda s: (s["mine"] != s["theirs"]) & F.array_contains(F.col("kept"), s["mine"])), lambda s: s["j"])
+    swapped = F.transform(F.filter("new", lambda s: ~F.array_contains(F.col("kept"), s["mine"])), lambda s: s["mine"])
+    checked = placed.where(F.size(F.array_distinct(swapped)) == F.size(swapped)).select(
+        "key", "doc_id", "item", "n_tokens", F.array_except("at", edits).alias("at"), "slots", F.size("slots").alias("n_slots"))
     whole = checked.groupBy("key", "doc_id", "item", "n_tokens").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_matched"), F.max("n_slots").alias("n_slots"),
         F.bool_and(F.forall("slots", lambda s: s["mine"] == s["theirs"])).alias("exact"))

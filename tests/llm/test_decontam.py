@@ -77,3 +77,13 @@ def test_short_and_edited_items_are_found_at_every_place(spark):
     texts = [" ".join([*prose(at, rnd).split(), parts[k], *prose(9, rnd).split()]) for k in range(6) for at in range(8)]
     got = {(d, i) for d, i, _ in result(spark, texts, items)}
     assert set(want) <= got and not any(i > 0 and i != d // 8 for d, i in got)
+
+
+def test_coinciding_parameters_signs_and_edits(spark):
+    items = ["Tom has 3 apples and 4 pears in a basket so how many fruits are there",
+             "Add 12, then 12 again to the sum that the clerk wrote down before lunch"]
+    texts = [items[0].replace("3", "5").replace("4", "5"), items[1].replace("12,", "12"), items[1].replace("12 again", "13 again"),
+             items[1].replace("12,", "7").replace("12 again", "8 again")]
+    docs, bench = frames(spark, [f"{prose(9)}. {t} {prose(9)}" for t in texts], items)
+    got = {(r.doc_id, r.item_id): (r.n_tokens - r.n_matched, r.exact) for r in decontam.contaminated(docs, bench).collect()}
+    assert got == {(0, 0): (0, False), (1, 1): (0, True), (2, 1): (1, False)}
