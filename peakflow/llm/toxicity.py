@@ -4,8 +4,9 @@ Terms are the distinct word beginnings of a text (``PREFIXES`` letters, so that
 share terms), hashed in Spark. The machine's score is a bias, a weight per term and
 the inner product of two terms' factors for each pair of terms, which learns that an insult
 next to a group's name counts more than both alone. It is fitted on a bounded sample
-of labelled rows in one task (AdaGrad, from smoothed log-odds) and keeps only terms whose
-texts' labels differ clearly from the mean; scoring is a narrow pass over all texts.
+of labelled rows in one task (AdaGrad) and holds all terms of ``MIN_TEXTS`` texts or more, also those that tell nothing
+alone; weights start at smoothed log-odds, drawn to 0 by how little a term's labels differ from the mean, and rare
+terms learn in small steps; scoring is a narrow pass over all texts.
 
 Defined results: a null text is the empty one, which scores the bias; a document with
 several labels is toxic if one says so; null labels and null ids train nothing; without
@@ -30,8 +31,10 @@ BITS = 22
 FACTORS = 4
 #: The most labelled rows (but for the spread of a sample by hashes) that the model is fitted on.
 SAMPLE_ROWS = 16_000
-#: A term is kept if so many sampled texts hold it, and its share of toxic ones is so many deviations off the mean.
+#: A term is kept if so many sampled texts hold it; its weight starts at 0 if its share of toxic ones is less than so many deviations off the mean.
 MIN_TEXTS, DEVIATIONS = 3, 4.0
+#: Where AdaGrad's sums of squares start, for weights and factors: the larger, the smaller a rare term's steps.
+START, FACTOR_START = 0.1, 1e-3
 #: Texts by which a term's share of toxic ones is drawn to the mean in its first weight.
 PRIOR = 5.0
 EPOCHS, BATCH, RATE, FACTOR_RATE, DECAY, FACTOR_DECAY = 8, 64, 0.1, 0.02, 1e-5, 1e-4
@@ -107,18 +110,18 @@ def fit(hashed: np.ndarray, cuts: np.ndarray, y: np.ndarray, seed: int = 7) -> M
         count += np.bincount(hashed[p], minlength=size)
         toxic += np.bincount(hashed[p][bad[p]], minlength=size)
     off = (toxic - count * mean) / np.sqrt(np.maximum(count * mean * (1 - mean), 1e-9))
-    known = np.flatnonzero((count >= MIN_TEXTS) & (np.abs(off) >= DEVIATIONS))
+    known = np.flatnonzero(count >= MIN_TEXTS)
     share = (toxic[known] + PRIOR * mean) / (count[known] + PRIOR)
-    first = 0.5 * (_logit(share) - _logit(mean))
+    first = 0.5 * (_logit(share) - _logit(mean)) * np.maximum(0, 1 - np.square(DEVIATIONS / np.maximum(np.abs(off[known]), 1e-9)))
     rnd = np.random.default_rng(seed)
     m = Machine(known, float(_logit(mean)), np.concatenate([[0], first]), rnd.normal(0, 0.01, (len(known) + 1, FACTORS)))
     m.v[0] = 0
     told = np.zeros(len(count), bool)
     told[known] = True
-    # The other terms, nearly all, go before anything else is made of them.
+    # The rarest terms go before anything else is made of them.
     keep = np.concatenate([np.zeros(0, bool), *(told[hashed[p]] for p in parts)])
     cuts, rows = np.concatenate([[0], np.cumsum(keep)])[cuts], m.rows(hashed[keep])
-    gw, gv, gb = np.full(len(m.w), 1e-6), np.full(m.v.shape, 1e-2), 1e-6
+    gw, gv, gb = np.full(len(m.w), START), np.full(m.v.shape, FACTOR_START), 1e-6
     for _ in range(EPOCHS):
         order = rnd.permutation(len(y))
         for at in range(0, len(y), BATCH):

@@ -90,3 +90,16 @@ def test_without_labels_or_rows(spark, tmp_path):
     got = queries.op5_toxicity(spark, with_documents(spark, tmp_path, edge_docs(spark))).collect()
     assert {r.score for r in got} == {0.0}
     assert queries.op5_toxicity(spark, with_documents(spark, tmp_path / "e", empty_docs(spark), [(1, 1, 1)])).collect() == []
+
+
+def test_pairs_of_terms_with_the_mean_rate_alone_are_learnt():
+    """Toxic if just one of two terms is there, so each alone has the mean rate; with five other terms a text."""
+    def sample(n, seed):
+        rnd = np.random.default_rng(seed)
+        a, b = rnd.random(n) < 0.5, rnd.random(n) < 0.5
+        texts = [[x for x, there in ((1, p), (2, q)) if there] + list(3 + rnd.choice(400, 5, replace=False)) for p, q in zip(a, b, strict=True)]
+        return np.concatenate(texts).astype(int), np.concatenate([[0], np.cumsum([len(t) for t in texts])]), (a ^ b).astype(float)
+
+    m = toxicity.fit(*sample(4000, 1))
+    hashed, cuts, y = sample(2000, 2)
+    assert ((m.score(hashed, cuts) >= 0.5) == y).mean() > 0.9
