@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 
 from ..sources.tables import read_table
-from . import bpe, decontam, linededup, neardup, pii, secrets, shards, tokcount, topk, toxicity
+from . import bpe, decontam, linededup, neardup, pii, repeats, secrets, shards, tokcount, topk, toxicity
 from .base import documents
 
 
@@ -49,6 +49,10 @@ def op4_token_counts(spark, sf_dir):
     return tokcount.op4(spark, documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_repeated_bytes(spark, sf_dir):
+    return repeats.op12(spark, documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_secret_scan": op2_secret_scan,
@@ -60,6 +64,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
+    "op12_repeated_bytes": op12_repeated_bytes,
 }
 
 ORACLES: dict[str, str] = {
