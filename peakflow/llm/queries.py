@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 
 from ..sources.tables import read_table
-from . import bpe, decontam, linededup, neardup, pii, repeats, secrets, shards, tokcount, topk, toxicity
+from . import bpe, decontam, hardnegs, linededup, neardup, pii, repeats, secrets, shards, tokcount, topk, toxicity
 from .base import documents
 
 
@@ -53,6 +53,10 @@ def op12_repeated_bytes(spark, sf_dir):
     return repeats.op12(spark, documents(spark, sf_dir))
 
 
+def op13_hard_negatives(spark, sf_dir):
+    return hardnegs.op13(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_secret_scan": op2_secret_scan,
@@ -65,8 +69,10 @@ QUERIES = {
     "op9_extendible_shards": op9_extendible_shards,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
     "op12_repeated_bytes": op12_repeated_bytes,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op1_topk_search": topk.ORACLE,
+    "op13_hard_negatives": hardnegs.ORACLE,
 }
