@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 
 from ..sources.tables import read_table
-from . import bpe, decontam, hardnegs, linededup, neardup, pii, repeats, secrets, shards, tokcount, topk, toxicity
+from . import bpe, decontam, hardnegs, lexical, linededup, neardup, pii, repeats, secrets, shards, tokcount, topk, toxicity
 from .base import documents
 
 
@@ -49,6 +49,10 @@ def op4_token_counts(spark, sf_dir):
     return tokcount.op4(spark, documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical.op11(spark, documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_repeated_bytes(spark, sf_dir):
     return repeats.op12(spark, documents(spark, sf_dir))
 
@@ -68,11 +72,13 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
+    "op11_lexical_search": op11_lexical_search,
     "op12_repeated_bytes": op12_repeated_bytes,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op1_topk_search": topk.ORACLE,
+    "op11_lexical_search": lexical.ORACLE,
     "op13_hard_negatives": hardnegs.ORACLE,
 }

@@ -61,4 +61,4 @@ def test_edge_and_empty_documents(spark, tmp_path):
 def test_registered_queries(spark):
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert {"pipeline"} <= names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {"pipeline"} <= names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
