@@ -74,6 +74,11 @@ def day_type(weekend_flag: Column) -> Column:
             .when(weekend_flag == 0, F.lit("Weekday")))
 
 
+def literal_array(values, kind: str) -> Column:
+    """An array literal of numbers made from one string; the optimizer folds it to a constant."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
 def lateral(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     """Add columns that are evaluated exactly once per row.
 

@@ -8,46 +8,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import DATED, PATTERN_SHAPES, TIME_ZONE, TIMESTAMP_PATTERNS, ZONED
-
-
-def normalize_offset(c: Column) -> Column:
-    """A trailing ``Z`` becomes ``+00:00`` (the form every offset pattern accepts)."""
-    return F.regexp_replace(c, r"Z$", "+00:00")
-
-
-def parse_normalized(s: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
-                     time_zone: str = TIME_ZONE) -> Column:
-    """Parse an offset-normalised string (see :func:`normalize_offset`) to an instant.
-
-    The first pattern that parses wins, then Spark's default parse (ISO forms,
-    with or without ``T``). Strings with no offset are read as wall-clock time
-    in ``time_zone`` rather than in whatever the session zone happens to be.
-    ``try_to_timestamp`` is used throughout because ANSI ``to_timestamp``
-    raises on the first failed pattern; a known pattern is only attempted when
-    the string has its shape. NULL when nothing fits.
-    """
-    tries = []
-    for p in patterns:
-        attempt = F.try_to_timestamp(s, F.lit(p))
-        shape = PATTERN_SHAPES.get(p)
-        tries.append(F.when(s.rlike(shape), attempt) if shape else attempt)
-    # Without a zone or offset a string is wall-clock time in time_zone, whatever the session's zone; the
-    # zone-aware cast only sees strings that name a zone. Both need a date: a time alone would mean today.
-    wall = F.convert_timezone(F.lit(time_zone), F.current_timezone(), s.try_cast(T.TimestampNTZType())).cast(T.TimestampType())
-    aware = F.when(s.rlike(DATED), F.try_to_timestamp(s))
-    return F.coalesce(*tries, F.when(s.rlike(ZONED), aware).otherwise(wall))
+from ..spec import DATED_AND_ZONED, NO_SECONDS, TIME_ZONE, TIMESTAMP_PATTERNS, ZONED
 
 
 def parse_timestamp(c: Column, patterns: Iterable[str] = TIMESTAMP_PATTERNS,
                     time_zone: str = TIME_ZONE) -> Column:
     """Parse a string to an instant (TIMESTAMP), NULL when nothing fits.
 
-    ``parse_normalized(normalize_offset(c))`` as one expression; operators that
-    parse a whole column normalise in a projection first so the normalised
-    string is computed once per row.
+    The default patterns, and the ISO forms after them, are what Spark's own cast reads: a date,
+    a blank or ``T``, hours, minutes, seconds, and an offset (``Z``, ``+hh``, ``+hhmm``, ``+hh:mm``) or a zone's name; where
+    seconds are missing they are put in. So a regular expression tells the form, and one cast splits and checks the
+    fields; no pattern is tried after another. Further patterns are tried first, each on its own.
+
+    Strings with no offset are read as wall-clock time in ``time_zone`` rather than in whatever the session zone
+    happens to be; strings without a date are rejected, as a time alone would mean today.
     """
-    return parse_normalized(normalize_offset(c), patterns, time_zone)
+    known = set(TIMESTAMP_PATTERNS)
+    others = [F.try_to_timestamp(F.regexp_replace(c, r"Z$", "+00:00"), F.lit(p)) for p in patterns if p not in known]
+    wall = F.convert_timezone(F.lit(time_zone), F.current_timezone(), c.try_cast(T.TimestampNTZType())).cast(T.TimestampType())
+    whole = F.concat(F.substring(c, 1, 16), F.lit(":00"), F.substring(c, 17, 6)).try_cast(T.TimestampType())
+    read = F.when(c.rlike(NO_SECONDS), whole).when(c.rlike(DATED_AND_ZONED), c.try_cast(T.TimestampType())).when(~c.rlike(ZONED), wall)
+    return F.coalesce(*others, read) if others else read
 
 
 def local_wall_clock(c: Column, dtype: T.DataType, time_zone: str = TIME_ZONE) -> Column:

@@ -3,7 +3,7 @@
 Everything distributed stays in Spark: one multi-column ``StringIndexer`` pass,
 ``OneHotEncoder``/``VectorAssembler`` (metadata only), the forest fit, and all
 metrics as aggregates over the confusion matrix (a classes x classes table).
-Only model metadata (importances, feature names) is read on the driver.
+Only model metadata (feature names, the trees' nodes) is read on the driver.
 """
 
 from __future__ import annotations
@@ -12,14 +12,15 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import present, qcol
+from ..functions.columns import lateral, present, qcol
+from ..session import shared_path
 from ..spec import FLIGHTS, LABEL, MAX_DEPTH, NUM_TREES, SEED, TRAIN_FRACTION, MovementSpec
-from . import clean
+from . import clean, forest
 
 LABEL_COL = "label"
 
@@ -151,10 +152,33 @@ def classification_metrics(predictions: DataFrame, label: str = LABEL_COL,
         (F.sum(F.col("support") * F.col("f1")) / total).alias("f1"))
 
 
-def roc_auc(predictions: DataFrame, label: str = LABEL_COL, raw: str = "rawPrediction") -> float:
-    """Exact area under ROC (``numBins=0``: no down-sampling of the distributed curve)."""
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC", numBins=0)
-    return ev.evaluate(predictions)
+def roc_auc(predictions: DataFrame, label: str = LABEL_COL, raw: str = "rawPrediction", ranges: int | None = None) -> DataFrame:
+    """One row, ``roc_auc``: the exact area under ROC as a rank sum, lazily and without a global sort.
+
+    Rows are counted by score first. The scores are cut into ``ranges`` (the shuffle partitions, by default) at approximate
+    quantiles; within a range a window counts the negatives below each score, and a prefix sum over the ranges' totals, a
+    row each, adds those of lower ranges. The cuts only decide where a score is counted, so the area is exact:
+    the share of pairs of a positive and a negative row that the score orders rightly, ties counting half. 1 where there
+    is only one class, as spark.ml has it. ``raw`` is a number, or a vector whose second place is the score.
+    """
+    ranges = ranges or int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = predictions.schema[raw].dataType.typeName() == "double"
+    score = (F.col(raw) if plain else vector_to_array(F.col(raw))[1]).alias("score")
+    positive = F.col("l") == 1
+    counts = (predictions.select(F.col(label).alias("l"), score).groupBy("score")
+              .agg(F.count_if(positive).alias("np"), F.count_if(~positive).alias("nn")))
+    cuts = counts.agg(F.percentile_approx("score", [i / ranges for i in range(1, ranges)] or [0.5], 100 * ranges)).scalar()
+    parts = (lateral(counts, {"cuts": F.coalesce(cuts, F.array().cast("array<double>"))})
+             .withColumn("range", F.size(F.filter("cuts", lambda c: c <= F.col("score")))).drop("cuts"))
+    totals = parts.groupBy("range").agg(F.sum("nn").alias("below_range"))
+    lower = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
+    totals = totals.withColumn("below_range", F.coalesce(F.sum("below_range").over(lower), F.lit(0)))
+    before = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = parts.withColumn("below", F.coalesce(F.sum("nn").over(before), F.lit(0))).join(totals, "range")
+    big = "decimal(19,0)"
+    twice = F.sum(F.col("np").cast(big) * (2 * (F.col("below") + F.col("below_range")) + F.col("nn")).cast(big)).cast("double")
+    pairs = 2 * F.sum("np").cast("double") * F.sum("nn").cast("double")
+    return ranked.agg(F.when(pairs > 0, twice / pairs).otherwise(1.0).alias("roc_auc"))
 
 
 def feature_names(model: PipelineModel, transformed_schema, features: str = "features") -> list[str]:
@@ -184,25 +208,41 @@ def metrics_frame(train: DataFrame, test: DataFrame, train_pred: DataFrame, test
              value(classification_metrics(train_pred), "train_accuracy", "accuracy")]
     parts += [value(test_m, f"test_{name}", column) for name, column in (
         ("accuracy", "accuracy"), ("weighted_precision", "weightedPrecision"), ("weighted_recall", "weightedRecall"), ("f1", "f1"))]
-    # The area is one number by nature, and the feature list comes from the pipeline's definition.
-    known = [("test_roc_auc", float(roc_auc(test_pred, raw=raw)))] + [(f"feature:{c}", float(i)) for i, c in enumerate(inputs)]
-    out = spark.createDataFrame(known, "metric string, value double")
+    parts.append(value(roc_auc(test_pred, raw=raw), "test_roc_auc", "roc_auc"))
+    # The feature list comes from the pipeline's definition.
+    out = spark.createDataFrame([(f"feature:{c}", float(i)) for i, c in enumerate(inputs)], "metric string, value double")
     for p in parts:
         out = out.unionByName(p)
     return out
 
 
-def feature_importance(spark, model: PipelineModel, transformed_schema, inputs: Sequence[str]) -> DataFrame:
-    """(feature_group, importance): forest importances summed per assembler input column."""
-    forest = model.stages[-1]
-    names = feature_names(model, transformed_schema)
-    imp = forest.featureImportances.toArray().tolist()
-    rows = []
-    for i, v in enumerate(imp):
-        name = names[i] if i < len(names) else f"f{i}"
-        group = next((g for g in sorted(inputs, key=len, reverse=True) if name == g or name.startswith(g + "_")),
-                     name)
-        rows.append((group, name, float(v)))
-    per_slot = spark.createDataFrame(rows, "feature_group string, feature string, importance double")
-    return (per_slot.groupBy("feature_group").agg(F.sum("importance").alias("importance"))
-            .orderBy(F.col("importance").desc(), "feature_group"))
+def feature_importance(model: PipelineModel, transformed_schema, inputs: Sequence[str]) -> DataFrame:
+    """(feature_group, importance): the forest's importances summed per assembler input column, from its node table."""
+    return forest.grouped_importances(forest.node_table(model.stages[-1]), feature_names(model, transformed_schema), inputs)
+
+
+def frequency_index(df: DataFrame, column: str) -> DataFrame:
+    """(column, index): StringIndexer's codes (frequency, then value) of a column of any number of categories.
+
+    The counts are sorted in ranges and written with their place in their range; a prefix sum over the ranges, one row
+    each, makes places into codes. No list of categories comes to the driver. NULLs have no code.
+    """
+    spark = df.sparkSession
+    counts = df.where(qcol(column).isNotNull()).groupBy(qcol(column).alias(column)).agg(F.count(F.lit(1)).alias("__n"))
+    placed = counts.orderBy(F.desc("__n"), qcol(column)).select(qcol(column).alias(column), F.monotonically_increasing_id().alias("__at"))
+    path = shared_path(spark, "category-codes")
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path).select(
+        qcol(column).alias(column), F.shiftright("__at", 33).alias("__range"), F.col("__at").bitwiseAND((1 << 33) - 1).alias("__place"))
+    lower = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
+    ranges = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__size")).withColumn("__before", F.coalesce(F.sum("__size").over(lower), F.lit(0)))
+    return placed.join(ranges, "__range").select(qcol(column).alias(column), (F.col("__before") + F.col("__place")).cast("double").alias("index"))
+
+
+def with_frequency_index(df: DataFrame, column: str, output: str, codes: DataFrame | None = None) -> DataFrame:
+    """``df`` with the codes of ``codes`` (its own by default) joined on; values without a code get the next one after all codes."""
+    codes = codes if codes is not None else frequency_index(df, column)
+    unseen = codes.agg(F.count(F.lit(1)).cast("double")).scalar()
+    named = codes.select(qcol(column).alias("__value"), F.col("index").alias("__index"))
+    return (df.join(named, qcol(column) == F.col("__value"), "left")
+            .withColumn(output, F.coalesce(F.col("__index"), unseen)).drop("__value", "__index"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import invalid_flag, present, qcol
 from ..spec import FLIGHTS, HOUR, LOCAL_TS, format_pattern
 from .label import percentile_disc
+from .traffic import hourly_volume
 
 
 def _long_form(wide: DataFrame, names: list[str], key: str, value: str, prefix: str = "c") -> DataFrame:
@@ -146,11 +147,6 @@ def unparsed_count(parsed: DataFrame, column: str = LOCAL_TS) -> DataFrame:
         F.count_if(qcol(column).isNull()).alias("rows_removed"))
 
 
-def hourly_volume(df: DataFrame) -> DataFrame:
-    return (df.filter(F.col(HOUR).isNotNull())
-            .groupBy(HOUR).agg(F.count(F.lit(1)).alias("flights_in_hour")))
-
-
 def _bounds(hourly: DataFrame, multiplier: float) -> DataFrame:
     q = hourly.agg(percentile_disc("flights_in_hour", 0.25).alias("q1"),
                    percentile_disc("flights_in_hour", 0.75).alias("q3"))

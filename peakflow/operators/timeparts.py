@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import lateral, present, qcol
-from ..functions.timestamps import local_wall_clock, normalize_offset, parse_normalized
+from ..functions.timestamps import local_wall_clock, parse_timestamp
 from ..spec import DATE, FLIGHTS, HOUR, LOCAL_TS, UTC_TS, WEEKDAY, WEEKEND, MovementSpec
 
 
@@ -20,13 +20,7 @@ def parse_timestamps(df: DataFrame, spec: MovementSpec = FLIGHTS) -> DataFrame:
              if present(df, [src])]
     if not pairs:
         return df
-    # The offset-normalised text is projected once; the generator then reads it
-    # instead of re-evaluating the regex replace inside every parse attempt.
-    norm = {f"__norm_{dst}": normalize_offset(qcol(src)) for src, dst in pairs}
-    staged = df.withColumns(norm)
-    exprs = {dst: parse_normalized(F.col(f"__norm_{dst}"), spec.timestamp_patterns, spec.time_zone)
-             for _, dst in pairs}
-    return lateral(staged, exprs).drop(*norm)
+    return lateral(df, {dst: parse_timestamp(qcol(src), spec.timestamp_patterns, spec.time_zone) for src, dst in pairs})
 
 
 def filter_unparsed(df: DataFrame, column: str = LOCAL_TS) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import day_type, qcol, safe_int, safe_string
+from ..functions.columns import day_type, lateral, qcol, safe_int, safe_string
 from ..spec import CARGO_INT, FLIGHTS, HOUR, LABEL, TOP_K, TOP_K_BY_LABEL, WEEKEND, MovementSpec
 
 
@@ -28,11 +28,20 @@ def rows_total(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
+def hourly_volume(df: DataFrame) -> DataFrame:
+    """(hour_of_day, flights_in_hour) for non-NULL hours, in no order.
+
+    NULL hours are dropped from the counts (25 rows at most), behind a generator: a filter that Catalyst pushes
+    below the count would compute the hour once more for every row, and again for every duplicate.
+    """
+    counts = df.groupBy(HOUR).agg(F.count(F.lit(1)).alias("flights_in_hour"))
+    known = lateral(counts.withColumnRenamed(HOUR, "__hour"), {HOUR: F.col("__hour")})
+    return known.where(F.col(HOUR).isNotNull()).select(HOUR, "flights_in_hour")
+
+
 def hourly_counts(df: DataFrame) -> DataFrame:
     """(hour_of_day, flights_in_hour) for non-NULL hours, by hour."""
-    return (df.filter(F.col(HOUR).isNotNull())
-            .groupBy(HOUR).agg(F.count(F.lit(1)).alias("flights_in_hour"))
-            .orderBy(HOUR))
+    return hourly_volume(df).orderBy(HOUR)
 
 
 def first_hour(df: DataFrame) -> DataFrame:
@@ -42,7 +51,7 @@ def first_hour(df: DataFrame) -> DataFrame:
 
 def hourly_total(df: DataFrame) -> DataFrame:
     """Sum of the hourly counts (= rows with a non-NULL hour)."""
-    return hourly_counts(df).agg(F.sum("flights_in_hour").cast("long").alias("total_flights"))
+    return hourly_volume(df).agg(F.sum("flights_in_hour").cast("long").alias("total_flights"))
 
 
 def _flag_counts(df: DataFrame, column: str, labels: tuple[str, str]) -> DataFrame:
@@ -120,14 +129,18 @@ def top_routes(df: DataFrame, spec: MovementSpec = FLIGHTS, k: int = TOP_K) -> D
             .limit(k))
 
 
+def daytype_means(df: DataFrame) -> DataFrame:
+    """(is_weekend, day_type, avg_hourly_traffic) in no order, from the counts by (weekend, hour)."""
+    slots = _count(df, F.col(WEEKEND).alias("__weekend"), F.col(HOUR).alias("__hour"))
+    slots = lateral(slots, {WEEKEND: safe_int(F.col("__weekend")), "__known": F.col("__weekend").isNotNull() & F.col("__hour").isNotNull()})
+    return (slots.where("__known").groupBy(WEEKEND)
+            .agg(F.avg("flights").alias("avg_hourly_traffic"))
+            .select(WEEKEND, day_type(F.col(WEEKEND)).alias("day_type"), "avg_hourly_traffic"))
+
+
 def avg_by_daytype(df: DataFrame) -> DataFrame:
     """Mean hourly volume per day type: count per (weekend, hour), then average per weekend.
 
     The mean is over hour slots of whole-period totals, as in the reference.
     """
-    slots = _count(df.filter(F.col(WEEKEND).isNotNull() & F.col(HOUR).isNotNull()),
-                   safe_int(F.col(WEEKEND)).alias(WEEKEND), safe_int(F.col(HOUR)).alias(HOUR))
-    return (slots.groupBy(WEEKEND)
-            .agg(F.avg("flights").alias("avg_hourly_traffic"))
-            .select(WEEKEND, day_type(F.col(WEEKEND)).alias("day_type"), "avg_hourly_traffic")
-            .orderBy(WEEKEND))
+    return daytype_means(df).orderBy(WEEKEND)

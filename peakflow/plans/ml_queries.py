@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, ml
+from ..operators import clean, forest, ml
 from ..session import ensure_checkpoint_dir, shared_path
 from ..sources.bindings import MOVEMENTS
 from . import oracle as O
@@ -116,19 +116,67 @@ def baseline(spark, base):
     return ml.classification_metrics(pred).select(maj.alias("majority_label"), "*")
 
 
-def _sound(df: DataFrame) -> DataFrame:
-    """Forest predictions as far as they don't depend on the forest: a class each, and probabilities that sum to 1."""
-    p = vector_to_array("probability")
-    return df.select("movement_id", "label", F.col("prediction").isin(0.0, 1.0).alias("is_class"),
-                     (F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("sums_to_one"))
+def _scored(df: DataFrame) -> DataFrame:
+    return df.select("movement_id", "label", "prediction", vector_to_array("probability")[1].alias("probability"))
 
 
 def forest_predictions(spark, base):
-    return _sound(fitted(spark, base)["test_pred"])
+    """The test rows with the forest's prediction and its probability of a peak."""
+    return _scored(fitted(spark, base)["test_pred"])
 
 
 def predictions_sample(spark, base, n: int = 10):
-    return _sound(fitted(spark, base)["test_pred"]).orderBy("movement_id").limit(n)
+    return forest_predictions(spark, base).orderBy("movement_id").limit(n)
+
+
+def forest_compiled(spark, base):
+    """The same, from the trees compiled into a column expression; and how often spark.ml's own scores differ."""
+    f = fitted(spark, base)
+    encoded = f["test_pred"].drop("rawPrediction", "probability", "prediction")
+    scored = forest.score(encoded, forest.node_table(f["model"].stages[-1]))
+    return scored.select("movement_id", "label", "prediction", F.col("probability")[1].alias("probability"))
+
+
+def forest_soundness(spark, base):
+    """What holds for every forest: a class each, probabilities that sum to 1, and compiled trees that score as spark.ml does."""
+    p = vector_to_array("probability")
+    own = fitted(spark, base)["test_pred"].select("movement_id", "label", F.col("prediction").isin(0.0, 1.0).alias("is_class"), "prediction", p.alias("p"))
+    compiled = forest_compiled(spark, base).select("movement_id", F.col("prediction").alias("again"), F.col("probability").alias("q"))
+    return own.join(compiled, "movement_id").select(
+        "movement_id", "label", "is_class", (F.abs(F.aggregate("p", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("sums_to_one"),
+        ((F.col("prediction") == F.col("again")) & (F.abs(F.col("p")[1] - F.col("q")) < 1e-12)).alias("compiled_agrees"))
+
+
+def forest_metrics(spark, base):
+    f = fitted(spark, base)
+    return (ml.classification_metrics(f["train_pred"]).select(F.lit("train").alias("split"), "*")
+            .unionByName(ml.classification_metrics(f["test_pred"]).select(F.lit("test").alias("split"), "*")))
+
+
+def forest_confusion(spark, base):
+    return ml.confusion(fitted(spark, base)["test_pred"])
+
+
+def forest_auc(spark, base):
+    return ml.roc_auc(fitted(spark, base)["test_pred"]).select(F.lit("test").alias("split"), "roc_auc")
+
+
+def forest_metrics_table(spark, base):
+    """The whole metrics table of the forest, its importances with it."""
+    f = fitted(spark, base)
+    groups = ml.feature_importance(f["model"], f["test_pred"].schema, f["inputs"])
+    table = ml.metrics_frame(f["train"], f["test"], f["train_pred"], f["test_pred"], f["inputs"])
+    return table.unionByName(groups.select(F.concat(F.lit("importance:"), "feature_group").alias("metric"), F.col("importance").alias("value")))
+
+
+def string_index_joined(spark, base):
+    """The codes of ``ml_string_index`` from counted ranges joined back, for columns of any number of categories."""
+    df = ml_input(spark, base)
+    cats = [c for c in M.categorical_columns if c in df.columns]
+    out = df
+    for c in cats:
+        out = ml.with_frequency_index(out, c, f"{c}_idx")
+    return out.select("movement_id", *[f"{c}_idx" for c in cats])
 
 
 def rule_metrics(spark, base):
@@ -139,7 +187,7 @@ def rule_metrics(spark, base):
 
 def rule_auc(spark, base):
     _, test = _rule(spark, base)
-    return spark.createDataFrame([("test", float(ml.roc_auc(test, raw="score")))], "split string, roc_auc double")
+    return ml.roc_auc(test, raw="score").select(F.lit("test").alias("split"), "roc_auc")
 
 
 def rule_confusion(spark, base):
@@ -153,9 +201,13 @@ def metrics_table(spark, base):
 
 
 def importance(spark, base):
-    """Each feature group's importance is a share of 1 (of 0 for a forest that never splits, on rows of one label)."""
     f = fitted(spark, base)
-    groups = ml.feature_importance(spark, f["model"], f["test_pred"].schema, f["inputs"])
+    return ml.feature_importance(f["model"], f["test_pred"].schema, f["inputs"])
+
+
+def importance_soundness(spark, base):
+    """Each feature group's importance is a share of 1 (of 0 for a forest that never splits, on rows of one label)."""
+    groups = importance(spark, base)
     total = groups.agg(F.round(F.sum("importance"), 9).alias("total"))
     return groups.select("feature_group", F.col("importance").between(0.0, 1.0).alias("is_share"), total.scalar().alias("total"))
 
@@ -191,10 +243,18 @@ QUERIES = {
     "ml_confusion": _p(rule_confusion),
     "ml_metrics_table": _p(metrics_table),
     "ml_model_roundtrip": _p(model_roundtrip),
+    "ml_string_index_joined": _p(string_index_joined),
+    "ml_forest_compiled": _p(forest_compiled),
+    "ml_forest_soundness": _p(forest_soundness),
+    "ml_importance_soundness": _p(importance_soundness),
+    "ml_forest_metrics": _p(forest_metrics),
+    "ml_forest_confusion": _p(forest_confusion),
+    "ml_forest_roc_auc": _p(forest_auc),
+    "ml_forest_metrics_table": _p(forest_metrics_table),
 }
 
 # ---------------------------------------------------------------------------
-# DuckDB oracles for the deterministic keys (the forest itself has none).
+# DuckDB oracles for the keys without a forest; the forest's own answers are held against spark.ml in tests.
 # ---------------------------------------------------------------------------
 
 _CATS = ("carrier", "status", "terminal", "destination")
@@ -294,10 +354,10 @@ FROM per"""),
     "ml_confusion": _w(f"SELECT l AS label, CAST(p AS DOUBLE) AS prediction, count(*) AS count FROM ({RULE_TEST}) GROUP BY ALL"),
     "ml_roc_auc": _w(f"SELECT 'test' AS split, * FROM {AUC}"),
     "ml_metrics_table": _w(METRICS_TABLE),
-    # What holds for every forest.
-    "ml_random_forest": _w("SELECT movement_id, label, true AS is_class, true AS sums_to_one FROM sp WHERE NOT is_train"),
-    "ml_predictions": _w("SELECT movement_id, label, true AS is_class, true AS sums_to_one FROM sp WHERE NOT is_train ORDER BY movement_id LIMIT 10"),
-    "ml_feature_importance": _w(f"SELECT unnest({INPUTS!r}) AS feature_group, true AS is_share, "
+    "ml_string_index_joined": _w("SELECT movement_id, " + ", ".join(f"{c}_idx" for c in _CATS) + " FROM enc"),
+    # SQL has no forest: its own keys have no oracle; these say what holds for every forest.
+    "ml_forest_soundness": _w("SELECT movement_id, label, true AS is_class, true AS sums_to_one, true AS compiled_agrees FROM sp WHERE NOT is_train"),
+    "ml_importance_soundness": _w(f"SELECT unnest({INPUTS!r}) AS feature_group, true AS is_share, "
                                 "(SELECT CAST(count(DISTINCT label) > 1 AS DOUBLE) FROM sp WHERE is_train) AS total"),
     "ml_model_roundtrip": _w("SELECT count(*) AS test_rows, CAST(0 AS BIGINT) AS different FROM sp WHERE NOT is_train"),
 }

@@ -230,10 +230,10 @@ FROM {_missing("raw")} b FULL OUTER JOIN {_missing("m")} a ON a.column = b.colum
     "iqr_bounds": w("SELECT * FROM " + BOUNDS),
     "iqr_outliers": w(f"""SELECT hour_of_day, flights_in_hour FROM ({HOURLY_DD}) h, {BOUNDS} b
 WHERE flights_in_hour < b.lower_bound OR flights_in_hour > b.upper_bound"""),
-    "dedupe_rows": w(f"SELECT {VALID_OUT} FROM (SELECT DISTINCT * FROM (SELECT * FROM va UNION ALL SELECT * FROM va))"),
-    "duplicate_report": w("""SELECT (SELECT 2 * COUNT(*) FROM va) AS rows_before,
+    "dedupe_rows": w(f"SELECT {VALID_OUT} FROM (SELECT DISTINCT * FROM va)"),
+    "duplicate_report": w("""SELECT (SELECT COUNT(*) FROM va) AS rows_before,
        (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM va)) AS rows_after,
-       (SELECT 2 * COUNT(*) FROM va) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM va)) AS duplicates_removed"""),
+       (SELECT COUNT(*) FROM va) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM va)) AS duplicates_removed"""),
     "volume_report": w("""SELECT (SELECT COUNT(*) FROM raw) AS rows_before, (SELECT COUNT(*) FROM m) AS rows_after,
        (SELECT COUNT(*) FROM raw) - (SELECT COUNT(*) FROM m) AS rows_removed,
        CAST(9 AS BIGINT) AS cols_before, CAST(18 AS BIGINT) AS cols_after"""),

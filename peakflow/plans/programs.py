@@ -118,7 +118,7 @@ def run_ml(pp: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS,
     train_pred, test_pred = model.transform(train), model.transform(test)
     sinks.save_model(model, _out(out_dir, "models/random_forest_pipeline"))
     _, _, inputs = ml.feature_stages(train, spec)
-    importance = ml.feature_importance(spark, model, test_pred.schema, inputs)
+    importance = ml.feature_importance(model, test_pred.schema, inputs)
     metrics = ml.metrics_frame(train, test, train_pred, test_pred, inputs).unionByName(
         importance.select(F.concat(F.lit("importance:"), "feature_group").alias("metric"), F.col("importance").alias("value")))
     sinks.write_metrics(metrics, _out(out_dir, "ml_metrics"))

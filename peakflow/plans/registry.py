@@ -106,10 +106,6 @@ def _dotted(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"carrier_raw": "airline.name", "terminal_raw": "movement.terminal", "dest_raw": "movement.to"})
 
 
-def _twice(df: DataFrame) -> DataFrame:
-    return df.unionByName(df)
-
-
 def _p(f: Callable[..., DataFrame]) -> Query:
     return lambda spark, base: portable(f(spark, base))
 
@@ -168,8 +164,8 @@ QUERIES: dict[str, Query] = {
         quality.missing_summary(_raw(s, b)), quality.missing_summary(_pp(s, b)))),
     "iqr_bounds": _p(lambda s, b: quality.iqr_bounds(_dedup(s, b), M.iqr_multiplier)),
     "iqr_outliers": _p(lambda s, b: quality.iqr_outliers(_dedup(s, b), M.iqr_multiplier)),
-    "dedupe_rows": _p(lambda s, b: quality.dedupe_rows(_twice(_validated(s, b)))),
-    "duplicate_report": _p(lambda s, b: quality.duplicate_report(_twice(_validated(s, b)))),
+    "dedupe_rows": _p(lambda s, b: quality.dedupe_rows(_validated(s, b))),
+    "duplicate_report": _p(lambda s, b: quality.duplicate_report(_validated(s, b))),
     "volume_report": _p(lambda s, b: quality.volume_report(_raw(s, b), _pp(s, b))),
     # traffic reports
     "rows_total": _p(lambda s, b: traffic.rows_total(_pp(s, b))),

@@ -54,20 +54,12 @@ TIMESTAMP_PATTERNS = (
     "yyyy-MM-dd HH:mmX",
 )
 
-# Cheap shape test per pattern: every string the pattern can parse matches it
-# (a superset), so testing first never changes a result; it only skips parse
-# attempts that would fail (a failed attempt costs an exception inside Spark).
-PATTERN_SHAPES = {
-    "yyyy-MM-dd HH:mm:ssXXX": r":\d\d:\d\d[+-]\d\d:\d\d$",
-    "yyyy-MM-dd HH:mmXXX": r"\d\d:\d\d[+-]\d\d:\d\d$",
-    "yyyy-MM-dd HH:mm:ssX": r":\d\d:\d\d[+-]\d\d(\d\d)?$",
-    "yyyy-MM-dd HH:mmX": r"\d\d:\d\d[+-]\d\d(\d\d)?$",
-}
-
 # A string names a zone or offset if a letter, or a sign and a digit, follows its hours and minutes;
 # it is dated if it begins with a year of four digits or more.
 ZONED = r"\d:\d\d.*([A-Za-z]|[+-]\d)"
-DATED = r"^\s*[+-]?\d{4,}"
+DATED_AND_ZONED = r"^\s*[+-]?\d{4,}.*" + ZONED
+# A date, hours and minutes (16 characters) and an offset, but no seconds, which Spark's cast asks for.
+NO_SECONDS = r"^\d{4}-\d\d-\d\d \d\d:\d\d(Z|[+-]\d\d(:?\d\d)?)$"
 
 # dayofweek() values counted as weekend (1 = Sunday ... 7 = Saturday): Friday, Saturday.
 WEEKEND_DAYS = (6, 7)
