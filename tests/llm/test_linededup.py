@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+import time
 
 from edge_docs import TEXTS, edge_docs, empty_docs, prose
 from hypothesis import given, settings
@@ -9,24 +9,27 @@ from peakflow.llm import linededup as ld
 from peakflow.llm import queries
 
 
+def runs(lines):
+    """For each line, what makes it go if an earlier document has it: itself, or a blank line's distances from its neighbours."""
+    out = []
+    for n, x in enumerate(lines):
+        if x.strip(" \t\x0b\x0c\r"):
+            out.append({x})
+            continue
+        near = [next((m for m in order if lines[m].strip(" \t\x0b\x0c\r")), None) for order in (range(n - 1, -1, -1), range(n + 1, len(lines)))]
+        out.append({(lines[m], side, abs(n - m)) for side, m in enumerate(near) if m is not None})
+    return out
+
+
 def brute(texts):
-    """{id: (text, lines deleted)} for texts of distinct ids."""
-    lines = {i: t.split("\n") for i, t in sorted(texts.items()) if t is not None}
-    owner: dict = {}
-    for i, ls in lines.items():
-        for x in ls:
-            owner.setdefault(x, i)
-    out = {i: (None, 0) for i in texts}
-    for i, ls in lines.items():
-        shared = defaultdict(int)
-        for x in set(ls):
-            if len(x) >= ld.LINE_CHARS and owner[x] != i:
-                shared[owner[x]] += len(x)
-        gone = set()
-        for o, n in shared.items():
-            if n >= ld.SHARED_CHARS:
-                gone.update(ld.repeated(lines[o], ls, [len(x) for x in ls]))
-        out[i] = ("\n".join(x for n, x in enumerate(ls) if n not in gone), len(gone))
+    """{id: (text, lines deleted)} for texts of distinct ids, without anything of the module."""
+    seen, out = set(), {}
+    for i, t in sorted(texts.items()):
+        lines = [] if t is None else t.split("\n")
+        own = runs(lines)
+        gone = {n for n, r in enumerate(own) if r & seen}
+        out[i] = (None if t is None else "\n".join(x for n, x in enumerate(lines) if n not in gone), len(gone))
+        seen.update(*own)
     return out
 
 
@@ -39,10 +42,56 @@ def test_alignments_are_common_subsequences(a, b):
     assert len(ld.align(a, a)) == len(a)
 
 
+def places(a, b):
+    """What a pair carries, for a later document b and an earlier one a."""
+    return [([n for n, y in enumerate(b) if y == x], [n for n, y in enumerate(a) if y == x]) for x in sorted(set(a) & set(b))]
+
+
 def test_blocks_between_moved_lines():
-    size = [200] * 6
-    assert ld.repeated([1, 2, 3, 9], [8, 1, 2, 7, 3, 6], size) == [1, 2, 4]
-    assert ld.repeated([1, 2, 3], [1, 2, 3], [10, 10, 10]) == []
+    """Moved lines are blocks of their own, and short blocks go as well: since a block may be one line long, no length is asked for."""
+    assert ld.common_blocks(places([1, 2, 3, 9], [8, 1, 2, 7, 3, 6])) == [(1, 2, 0), (4, 1, 2)]
+    assert ld.common_blocks(places([1, 2, 3], [1, 2, 3])) == [(0, 3, 0)]
+    assert ld.common_blocks(places([1, 2, 3, 4], [3, 4, 0, 1, 2])) == [(0, 2, 2), (3, 2, 0)]
+    assert ld.common_blocks(places([5, 1, 1, 2], [1, 1, 0, 1, 1, 2])) == [(0, 2, 1), (3, 3, 1)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=20), st.lists(st.integers(0, 6), max_size=20))
+def test_blocks_repeat_the_earlier_document_and_leave_nothing_shared(a, b):
+    blocks = ld.common_blocks(places(a, b))
+    assert all(b[s:s + n] == a[o:o + n] for s, n, o in blocks)
+    assert [x for s, n, _ in blocks for x in range(s, s + n)] == [n for n, x in enumerate(b) if x in a]
+
+
+def test_long_documents_take_linear_time():
+    rnd = random.Random(1)
+    a = list(range(100_000))
+    b = a[:40_000] + [-x for x in range(1, 20_001)] + a[40_000:][::-1]
+    begin = time.time()
+    assert sum(n for _, n, _ in ld.common_blocks(places_of_distinct(a, b))) == 100_000
+    text = "\n".join(rnd.choice(["", "x", f"line {n}"]) for n in range(100_000)).encode()
+    assert sum(len(p) for p in ld.line_items(text).values()) >= 100_000
+    assert time.time() - begin < 30
+
+
+def places_of_distinct(a, b):
+    at = {x: n for n, x in enumerate(a)}
+    return [([n], [at[x]]) for n, x in enumerate(b) if x in at]
+
+
+def test_long_text_is_cut_in_seconds(spark):
+    lines = [f"line {n}" for n in range(100_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(x for n, x in enumerate(lines) if n % 2) + "\nnew\n\n" + "\n".join(reversed(lines)))], "doc_id long, text string")
+    begin = time.time()
+    got = {r.doc_id: (r.text, r.n_deleted) for r in ld.dedup_lines(docs).collect()}
+    assert got == {1: ("\n".join(lines), 0), 2: ("new\n", 150_000)}
+    assert time.time() - begin < 60
+
+
+def test_alignments_name_the_repeated_block(spark):
+    docs = spark.createDataFrame([(4, "a\nb\nc\nd"), (9, "x\nb\nc\ny\na"), (11, "b\nc\ny")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.owner_id, r.start, r.n, r.owner_start) for r in ld.alignments(docs).collect())
+    assert got == [(9, 4, 1, 2, 1), (9, 4, 4, 1, 0), (11, 4, 0, 2, 1), (11, 9, 2, 1, 3)]
 
 
 def test_passages_go_from_later_documents_only(spark):
@@ -55,8 +104,9 @@ def test_passages_go_from_later_documents_only(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: (r.text, r.n_deleted) for r in ld.dedup_lines(docs).collect()}
     assert got == brute(texts)
-    assert {i for i, (_, n) in got.items() if n} == {9, 21}
-    assert got[9] == (texts[9].replace("\n" + passage, ""), 7)
+    # The passage goes from 9 and 21, and the line that all hold from all but the first: no length is asked for.
+    assert {i: n for i, (_, n) in got.items()} == {i: (i > 0) + 7 * (i in (9, 21)) for i in texts}
+    assert got[9] == (texts[9].replace("\n" + passage, "").replace("\n" + boiler, ""), 8)
 
 
 def test_edge_documents(spark):
