@@ -75,6 +75,15 @@ def test_labels_of_held_out_rows_and_other_columns_do_not_matter(spark, tmp_path
     assert got[0] == got[1]
 
 
+def test_repeated_ids_are_one_row_of_training(spark, monkeypatch):
+    rows = [(i, ("zorg " if i % 3 == 0 else "") + prose(30, random.Random(i))) for i in range(100)]
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(100)], "doc_id long, quality int, toxic int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = spark.createDataFrame(rows + [rows[1]] * 50 + [rows[3]] * 20, "doc_id long, text string")
+    a, b = (toxicity.Machine.load(toxicity.train(d, labels)) for d in (once, often))
+    assert np.array_equal(a.known, b.known) and np.array_equal(a.w, b.w) and np.array_equal(a.v, b.v)
+
+
 def test_edge_documents(spark, tmp_path):
     labels = [(0, 1, 1), (0, 1, 0), (5, 1, 0), (6, None, None), (None, 1, 1), (999, 1, 1), (6, 0, 1)]
     docs = edge_docs(spark)
