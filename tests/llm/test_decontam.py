@@ -19,12 +19,12 @@ def result(spark, texts, items):
 
 def test_copies_and_new_parameters(spark):
     swapped = ITEM.replace("12", "47").replace("Anna", "Zora").replace("Bert", "Carl").replace("Delft", "Gouda").replace("kg", "lb")
-    inconsistent = swapped.replace("did Zora", "did Mia")
+    inconsistent = swapped.replace("did Zora", "did Mia")  # two slots of many are breached; the rest covers the item
     texts = [ITEM, f"{prose(50)} {swapped} {prose(50)}", f"{prose(9)} {inconsistent}", f"{prose(7)}. {ITEM.upper()}", prose(300),
              ITEM.replace("On Monday a", "On, Monday a")]
     got = result(spark, texts, [ITEM, prose(40, random.Random(9))])
-    assert (0, 0, True) in got and (1, 0, False) in got and (5, 0, True) in got
-    assert not any(d in (2, 4) for d, _, _ in got)
+    assert (0, 0, True) in got and (1, 0, False) in got and (2, 0, False) in got and (5, 0, True) in got
+    assert not any(d == 4 for d, _, _ in got)
 
 
 def test_every_place_and_part_is_found(spark):
@@ -36,15 +36,24 @@ def test_every_place_and_part_is_found(spark):
     assert [(d, i) for d, i, _ in got] == [(k, k % 4) for k in range(40)] + [(40, 3)]
 
 
+def test_breached_slots_are_unmatched(spark):
+    """Equal numbers of an item may become different ones; a text whose slots are all breached and its words few isn't the item."""
+    twelve = "Anna has 12 red apples and Bert has 12 green pears so how many more fruits do they need to fill a basket of 40 places today?"
+    fewer = "12 12 12 12 12 12 12 12 12 12 and then so on it goes"
+    texts = [twelve.replace("12 red", "5 red").replace("12 green", "7 green"), " ".join([*map(str, range(50, 60)), *fewer.split()[10:]])]
+    assert [(d, i) for d, i, _ in result(spark, texts, [twelve, fewer])] == [(0, 0)]
+
+
 def test_edge_documents(spark):
     items = [None, "", "short one", "1 2 3 4 5 6 7 8 9 10 11 12", ITEM]
     bench = spark.createDataFrame([*enumerate(items), (4, ITEM), (None, ITEM)], "item_id long, text string").selectExpr("*", "1 AS item", "2 AS tokens")
     docs = edge_docs(spark, [None, "", ITEM, "1 2 3 4 5 6 7 8 9 10 11 12 13", ITEM + "\n" + ITEM])
     rows = decontam.contaminated(docs, bench).collect()
-    assert sorted((r.doc_id, r.item_id or -1, r.n_matched) for r in rows) == [(d, i, len(ITEM.split())) for d in (2, 4) for i in (-1, 4)]
+    assert sorted((r.doc_id, r.item_id or -1, r.n_matched) for r in rows) == [
+        *[(2, i, len(ITEM.split())) for i in (-1, 4)], (3, 3, 12), *[(4, i, len(ITEM.split())) for i in (-1, 4)]]
     clean = decontam.decontaminate(docs, bench)
     assert clean.columns == docs.columns
-    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in clean.collect()) == [-1, 0, 1, 3]
+    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in clean.collect()) == [-1, 0, 1]
 
 
 def test_empty_tables(spark):
@@ -86,4 +95,5 @@ def test_coinciding_parameters_signs_and_edits(spark):
              items[1].replace("12,", "7").replace("12 again", "8 again")]
     docs, bench = frames(spark, [f"{prose(9)}. {t} {prose(9)}" for t in texts], items)
     got = {(r.doc_id, r.item_id): (r.n_tokens - r.n_matched, r.exact) for r in decontam.contaminated(docs, bench).collect()}
-    assert got == {(0, 0): (0, False), (1, 1): (0, True), (2, 1): (1, False)}
+    # 12 became 7 and 8: both slots are unmatched, all else is the item's.
+    assert got == {(0, 0): (0, False), (1, 1): (0, True), (2, 1): (1, False), (3, 1): (2, False)}
