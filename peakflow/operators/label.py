@@ -12,6 +12,8 @@ otherwise. Nothing is collected to the driver.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ from ..spec import (
 )
 from .clean import terminal_group
 
-#: Parts into which ``method="window"`` spreads each window's rows.
-SALTS = 16
+#: Parts of the rows for each shuffle partition that ``method="window"`` aims at.
+PARTS_PER_TASK = 8
 
 
 def traffic_windows(df: DataFrame, keys=WINDOW_KEYS) -> DataFrame:
@@ -50,8 +52,35 @@ def percentile_of(df: DataFrame, column: str, p: float) -> DataFrame:
     return df.select(percentile_disc(column, p).alias("threshold"))
 
 
-def peak_threshold(windows: DataFrame, percentile: float = FLIGHTS.peak_percentile) -> DataFrame:
-    """One row: ``threshold`` (double) = exact ``percentile`` of window volumes."""
+def percentile_by_histograms(df: DataFrame, column: str, p: float, bins: int = 4096) -> DataFrame:
+    """One-row frame with ``threshold`` = :func:`percentile_disc` of ``column``, from histograms of at most ``bins`` rows.
+
+    A histogram between the least and the greatest value tells in which bin the rank lies and how many values are below it; the
+    next one refines that bin, until it holds a single value. No buffer grows with the number of distinct values. Each
+    step is a job whose one row decides the next, so two or three run while the frame is made.
+    """
+    spark = df.sparkSession
+    x = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    goal = x.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    rank, lo, hi = max(1, math.ceil(p * goal["n"])), goal["lo"], goal["hi"]
+    while lo is not None and lo < hi:
+        inside = x.where((F.col("v") >= lo) & (F.col("v") <= hi))
+        place = F.least(F.lit(bins - 1), F.floor((F.col("v") - lo) / F.lit((hi - lo) / bins)))
+        counts = inside.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        upto = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))  # over a histogram's rows
+        found = counts.withColumn("upto", upto).where(F.col("upto") >= rank).orderBy("bin").first()
+        rank, lo, hi = rank - (found["upto"] - found["n"]), found["lo"], found["hi"]
+    return spark.createDataFrame([(lo,)], "threshold double")
+
+
+def peak_threshold(windows: DataFrame, percentile: float = FLIGHTS.peak_percentile, method: str = "aggregate") -> DataFrame:
+    """One row: ``threshold`` (double) = exact ``percentile`` of window volumes.
+
+    ``method="aggregate"`` keeps a map of the distinct volumes, of which there are at most the square root of twice the
+    rows; ``method="histograms"`` keeps none.
+    """
+    if method == "histograms":
+        return percentile_by_histograms(windows, WINDOW_COUNT, percentile)
     return percentile_of(windows, WINDOW_COUNT, percentile)
 
 
@@ -71,22 +100,37 @@ def label_windows(windows: DataFrame, percentile: float = FLIGHTS.peak_percentil
         LABEL, F.when(F.col(WINDOW_COUNT) >= thr, F.lit(1)).otherwise(F.lit(0)))
 
 
+def salted(df: DataFrame, keys=WINDOW_KEYS) -> DataFrame:
+    """``df`` with ``__salt``, which splits the rows of each window into parts of about equal size.
+
+    Windows are counted first; one that holds more than a part (the rows over shuffle partitions x
+    ``PARTS_PER_TASK``) gets as many salts as it holds parts. There are fewer such windows than parts, so they are broadcast.
+    """
+    parts = PARTS_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    windows = traffic_windows(df, keys)
+    total = windows.agg(F.sum(WINDOW_COUNT)).scalar()
+    share = F.col(WINDOW_COUNT) * parts / total
+    hot = windows.where(share > 1).select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.ceil(share).cast("int").alias("__salts"))
+    same = [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in keys]
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.join(F.broadcast(hot), same, "left").select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.pmod(row, F.col("__salts")), F.lit(0)).cast("int").alias("__salt"))
+
+
 def label_rows(df: DataFrame, spec: MovementSpec = FLIGHTS, method: str = "join") -> DataFrame:
     """Attach ``terminal_group``, ``flights_in_window`` and ``peak_traffic_label`` to every row.
 
     ``method="join"`` (default) aggregates windows and joins them back, which is
     skew-safe: the aggregate is map-side combined and AQE splits a hot window on
-    the row side. ``method="window"`` counts with ``count(*) over (partition by keys, salt)`` and
-    adds up the ``SALTS`` parts of each window, so a hot window is spread over as many
-    tasks. Both give the same labels. Without date/hour columns every label is 0.
+    the row side. ``method="window"`` splits each window into as many parts as its measured count asks for
+    (:func:`salted`), counts the parts and adds them up per window, so a hot window is spread over all tasks at any
+    size. Both give the same labels. Without date/hour columns every label is 0.
     """
     if DATE not in df.columns or HOUR not in df.columns:
         return df.withColumn(LABEL, F.lit(0))
     base = terminal_group(df, spec.terminal)
     keys = list(WINDOW_KEYS)
     if method == "window":
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in base.columns]), F.lit(SALTS)).alias("__salt")
-        parts = base.select("*", salt)
+        parts = salted(base, keys)
         sizes = parts.groupBy(*keys, "__salt").agg(F.count(F.lit(1)).alias("__part"))
         by_window = Window.partitionBy(*keys)
         whole = sizes.withColumn(WINDOW_COUNT, F.sum("__part").over(by_window)).drop("__part")

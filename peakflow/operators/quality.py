@@ -177,9 +177,24 @@ def iqr_outliers(df: DataFrame, multiplier: float = FLIGHTS.iqr_multiplier) -> D
             .orderBy(n.desc(), F.col(HOUR)))
 
 
-def dedupe_rows(df: DataFrame) -> DataFrame:
-    """Full-row duplicates removed (a hash aggregate on all columns; map-side combine)."""
-    return df.dropDuplicates()
+def dedupe_rows(df: DataFrame, method: str = "rows") -> DataFrame:
+    """Full-row duplicates removed.
+
+    ``method="rows"`` is a hash aggregate on all columns (map-side combine): one read, and every row in the shuffle.
+    ``method="prints"`` suits wide rows that are cheap to read again and seldom repeat: only a 128-bit print of each row is
+    shuffled and counted; rows whose print is alone pass through, and rows of a repeated print are compared column by column.
+    """
+    if method == "rows":
+        return df.dropDuplicates()
+    if method != "prints":
+        raise ValueError(f"unknown method {method!r}")
+    columns = [qcol(c) for c in df.columns]
+    marked = [F.struct(c.isNull(), c) for c in columns]  # a NULL leaves a hash as it is
+    prints = {"__a": F.xxhash64(*marked), "__b": F.xxhash64(F.lit(1), *marked[::-1])}
+    repeated = df.select(*[e.alias(n) for n, e in prints.items()]).groupBy(*prints).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*prints)
+    rows = df.withColumns(prints)
+    alone = rows.join(repeated, list(prints), "left_anti").select(*columns)
+    return alone.unionByName(rows.join(repeated, list(prints), "left_semi").select(*columns).dropDuplicates())
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:

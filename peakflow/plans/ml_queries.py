@@ -26,6 +26,12 @@ KEY = ("movement_id",)
 _INPUT: dict = {}
 
 
+def forget() -> None:
+    """Drop what is kept for each folder (`registry.forget` calls it)."""
+    for kept in (_INPUT, _FITTED, _ENCODED):
+        kept.clear()
+
+
 def ml_input(spark: SparkSession, base: str) -> DataFrame:
     """The model's columns of the preprocessed rows, written once as Parquet for each application and folder."""
     from .registry import _pp

@@ -210,6 +210,7 @@ FROM (""" + REDUCED + ")"),
                     "COALESCE(origin_raw, 'UNKNOWN') AS origin_raw, COALESCE(hour_of_day, 0) AS hour_of_day, "
                     "COALESCE(peak_traffic_label, 0) AS peak_traffic_label FROM m"),
     "traffic_windows": w(f"SELECT {DAY}, hour_of_day, day_of_week, terminal_group, flights_in_window FROM wi"),
+    "peak_threshold_histograms": w("SELECT CAST(threshold AS DOUBLE) AS threshold FROM th"),
     "peak_threshold": w("SELECT CAST(threshold AS DOUBLE) AS threshold FROM th"),
     "label_windows": w(f"SELECT {DAY}, hour_of_day, day_of_week, terminal_group, flights_in_window, "
                        "peak_traffic_label FROM lw"),
@@ -231,6 +232,7 @@ FROM {_missing("raw")} b FULL OUTER JOIN {_missing("m")} a ON a.column = b.colum
     "iqr_outliers": w(f"""SELECT hour_of_day, flights_in_hour FROM ({HOURLY_DD}) h, {BOUNDS} b
 WHERE flights_in_hour < b.lower_bound OR flights_in_hour > b.upper_bound"""),
     "dedupe_rows": w(f"SELECT {VALID_OUT} FROM (SELECT DISTINCT * FROM va)"),
+    "dedupe_rows_prints": w(f"SELECT {VALID_OUT} FROM (SELECT DISTINCT * FROM va)"),
     "duplicate_report": w("""SELECT (SELECT COUNT(*) FROM va) AS rows_before,
        (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM va)) AS rows_after,
        (SELECT COUNT(*) FROM va) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM va)) AS duplicates_removed"""),

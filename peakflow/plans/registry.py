@@ -41,6 +41,13 @@ def _memo(fn):
     return wrapper
 
 
+def forget() -> None:
+    """Drop the plans and fitted models that are kept for each folder; call it after a table has been written anew."""
+    _PLANS.clear()
+    for mod in _extensions():
+        getattr(mod, "forget", lambda: None)()
+
+
 @_memo
 def _routes(spark, base):
     return route_counts(spark, base)
@@ -148,6 +155,7 @@ QUERIES: dict[str, Query] = {
     # label
     "traffic_windows": _p(_windows),
     "peak_threshold": _p(lambda s, b: label.peak_threshold(_windows(s, b), M.peak_percentile)),
+    "peak_threshold_histograms": _p(lambda s, b: label.peak_threshold(_windows(s, b), M.peak_percentile, "histograms")),
     "label_windows": _p(lambda s, b: label.label_windows(_windows(s, b), M.peak_percentile)),
     "label_rows": _p(lambda s, b: label.label_rows(_dedup(s, b), M, "join").select(
         "movement_id", "terminal_group", "flights_in_window", "peak_traffic_label")),
@@ -165,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "iqr_bounds": _p(lambda s, b: quality.iqr_bounds(_dedup(s, b), M.iqr_multiplier)),
     "iqr_outliers": _p(lambda s, b: quality.iqr_outliers(_dedup(s, b), M.iqr_multiplier)),
     "dedupe_rows": _p(lambda s, b: quality.dedupe_rows(_validated(s, b))),
+    "dedupe_rows_prints": _p(lambda s, b: quality.dedupe_rows(_validated(s, b), "prints")),
     "duplicate_report": _p(lambda s, b: quality.duplicate_report(_validated(s, b))),
     "volume_report": _p(lambda s, b: quality.volume_report(_raw(s, b), _pp(s, b))),
     # traffic reports

@@ -134,3 +134,24 @@ def test_label_reports_from_windows_equal_those_from_rows(spark):
         assert report(pp).collect() == report(windows).collect()
         plan = report(windows)._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan
+
+
+def test_salts_follow_measured_counts(spark):
+    """30 % of the rows in one window: the largest task holds at most twice the median."""
+    day, hot = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 400).cast("int")), F.col("id") % 10 < 3
+    df = spark.range(40_000).select("id", F.when(hot, F.lit("2024-01-01").cast("date")).otherwise(day).alias("scheduled_date_local"),
+                                    F.when(hot, 3).otherwise((F.col("id") % 7).cast("int")).alias("hour_of_day"), F.lit(2).alias("day_of_week"), F.lit(None).cast("string").alias("terminal_group"))
+    dealt = label.salted(df)
+    assert dealt.count() == 40_000 and dealt.where("hour_of_day = 3").select("__salt").distinct().count() > 8
+    sizes = sorted(r["count"] for r in dealt.repartition(8, *label.WINDOW_KEYS, "__salt").groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+
+
+def test_percentile_by_histograms(spark):
+    import random
+    rnd = random.Random(3)
+    for values in ([rnd.randrange(10) for _ in range(37)], [int(10 ** rnd.uniform(0, 12)) for _ in range(400)], [7] * 5, []):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "flights_in_window long")
+        for p in (0.0, 0.75):
+            want = label.peak_threshold(df, p).collect()[0][0]
+            assert label.percentile_by_histograms(df, "flights_in_window", p, bins=16).collect()[0][0] == want, (values[:5], p)

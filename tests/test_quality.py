@@ -63,3 +63,13 @@ def test_unparsed_count(spark):
 def test_duplicate_counts_equal_report(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "a int, b string")
     assert quality.duplicate_counts(df, quality.dedupe_rows(df)).collect() == quality.duplicate_report(df).collect()
+
+
+def test_dedupe_by_prints_gives_the_same_rows(spark):
+    rows = [(1, "a", None), (1, "a", None), (1, None, "a"), (None, "a", None), (2, "b", "c"), (2, "b", "c"), (2, "b", "c"), (3, "", ""), (3, None, "")]
+    df = spark.createDataFrame(rows, "`x.y` int, s string, t string")
+    got = quality.dedupe_rows(df, "prints")
+    assert sorted(got.collect(), key=repr) == sorted(set(df.collect()), key=repr) and got.columns == df.columns
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert quality.dedupe_rows(df.limit(0), "prints").count() == 0 and "left_anti" not in plan
+    assert "partial_count(1)], output=[__a" in plan  # what is shuffled to be counted

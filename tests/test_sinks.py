@@ -1,6 +1,8 @@
 import glob
 import os
 
+from pyspark.sql import functions as F
+
 from peakflow.session import shared_path
 from peakflow.sources import sinks
 
@@ -62,3 +64,18 @@ def test_long_form_keeps_the_order(spark):
     df = spark.range(50).repartition(7).orderBy("id")
     rows = sinks.long_form({"Q": df}).orderBy("row_no").collect()
     assert [r["result"] for r in rows] == [f"id={i}" for i in range(50)]
+
+
+def test_single_file_is_joined_from_parallel_parts(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 7).select("id", F.when(F.col("id") % 5 == 0, 'a "q", b').otherwise("x").alias("text.col"))
+    path = f"{tmp_path}/one"
+    for _ in range(2):  # writing again takes the old file's place
+        sinks.write_csv(df, path, single_file=True)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 1 and os.listdir(tmp_path) == ["one"]
+    with open(f"{path}/{files[0]}") as f:
+        assert f.readline() == "id,text.col\n"
+    back = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    assert [r[0] for r in back.collect()] == list(range(1000)) and back.columns == df.columns
+    sinks.write_csv(df.limit(0), f"{tmp_path}/none", single_file=True)
+    assert spark.read.option("header", True).csv(f"{tmp_path}/none").columns == df.columns
