@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 from .base import ship_code, texts, tidy, written
 
 KINDS = ("email", "ip", "card", "phone", "context")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: An email's part before the at sign, and what follows it.
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+#: No match of the rule begins within a run of digits, as one from the run's beginning would come first.
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: A token with a digit or at sign, without signs at its ends.
-TOKEN = re.compile(r"(?<![^\s(\[\"'<])[^\s\d@]*[\d@]\S*")
+#: A token with a digit or at sign.
+TOKEN = re.compile(r"(?<!\S)[^\s\d@]*[\d@]\S*")
 WORD = re.compile(r"\S+")
 REACH = 64  # characters on either side in which a context's words are looked for
 
@@ -48,11 +51,26 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Spans of ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``, in time linear in the text.
+
+    Looks back from each at sign, as far as the last sign or match.
+    """
+    out, low = [], 0
+    at = text.find("@")
+    while at >= 0:
+        start = low + len(text[low:at].rstrip(LOCAL))
+        m = DOMAIN.match(text, at + 1) if start < at else None
+        if m:
+            out.append((start, m.end()))
+        low = m.end() if m else at + 1
+        at = text.find("@", low)
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the fixed patterns' valid matches, by kind and start."""
-    out = []
-    if "@" in text:
-        out += [(0, m.start(), m.end()) for m in EMAIL.finditer(text)]
+    out = [(0, s, e) for s, e in emails(text)]
     if not re.search("[0-9]", text):
         return out
     for m in IP.finditer(text):

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from edge_docs import TEXTS, edge_docs, empty_docs
 
@@ -50,6 +52,27 @@ def test_table(spark):
     hold(rows, docs.get)
 
 
+def test_linear_patterns_equal_the_rules():
+    rnd = random.Random(3)
+    for n in range(20_000):
+        t = "".join(rnd.choice("a1.@-_ +%9") for _ in range(rnd.randrange(1, 40)))
+        got = [(pii.KINDS[k], s, e) for k, s, e in pii.base_spans(t)]
+        assert ",".join(f"{k}:{s}:{e}" for k, s, e in got) == expected(t)[1], t
+    old = re.compile(r"(?<![^\s(\[\"'<])[^\s\d@]*[\d@]\S*")
+    for n in range(20_000):
+        t = "".join(rnd.choice("a1([<@\"'. \n-") for _ in range(rnd.randrange(1, 30)))
+        assert [m.span() for m in pii.TOKEN.finditer(t)] == [m.span() for m in old.finditer(t)], t
+
+
+def test_long_runs_take_linear_time():
+    n = 1_000_000
+    for t in ["a" * n + " x@y", "a" * n + "@", "7" * n, "(" * n + " 1", "1." * (n // 2), "a@" * (n // 2), "x@y." * (n // 4), "+1" * (n // 2), "-" * n + "@b.c",
+              "1 " * (n // 2), "+1" + "(" * n, "a@b.c." * (n // 6), ".".join("9" * 1000 for _ in range(n // 1000))]:
+        start = time.process_time()
+        pii.candidates(t, pii.base_spans(t))
+        assert time.process_time() - start < 5, t[:10]
+
+
 def test_contexts_of_seeds_find_unseen_identifiers(spark):
     texts = [f"please write to the address user{i}@host{i}.example.com for news" for i in range(8)]
     texts += [f"please write to the address agent-{i}77 for news" for i in range(2)]
