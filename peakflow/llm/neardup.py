@@ -13,7 +13,7 @@ Two sets of similarity 0.8 meet in no bucket with probability below 2e-7.
 
 Defined results: a null text is the empty one; a text without words has no shingle and is
 linked with nothing; one with fewer words than a shingle has one shingle; rows with one
-document id count as one document; rows with a null id are linked with nothing and kept;
+document id count as one document, which links all its texts; rows with a null id are linked with nothing and kept;
 ties of ids can't change components; an empty table gives an empty one; other columns are
 not read.
 """
@@ -241,6 +241,15 @@ def _unit_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return grouped.mapInArrow(tidy(run), "u long, v long").distinct()
 
 
+def _texts_of_one(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(doc_id, own, node) of the documents whose rows differ in their sets: the smallest of their nodes, and each of them."""
+    differ = (rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.coalesce("print", F.lit(b""))).alias("a"), F.max(F.coalesce("print", F.lit(b""))).alias("b"))
+              .where("a <> b").select("doc_id"))
+    each = written(rows.where("print IS NOT NULL").select("doc_id", "print").join(differ, "doc_id").distinct()
+                   .join(nodes.select("print", "node"), "print").select("doc_id", "node").distinct(), "minhash-texts")
+    return each.groupBy("doc_id").agg(F.min("node").alias("own")).join(each, "doc_id")
+
+
 def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row."""
     rows = written(signatures(docs, k, id_col, text_col), "minhash")
@@ -257,7 +266,9 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: s
     pairs = starred.where("node <> pivot").select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct()
     alike = written(_alike(pairs, nodes), "minhash-alike")
     wanted = alike.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    links = written(_verified(alike, _sets(docs, wanted, k, id_col, text_col), percent), "minhash-links")
+    several = written(_texts_of_one(rows, nodes), "minhash-several")
+    same = several.where("own <> node").select(F.col("own").alias("u"), F.col("node").alias("v")).distinct()
+    links = written(_verified(alike, _sets(docs, wanted, k, id_col, text_col), percent).unionByName(same), "minhash-links")
     found = written(components(links), "minhash-components")
 
     others = (starred.where("node <> pivot").select("bucket", "node").join(found, "node", "left")
@@ -272,7 +283,11 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: s
         links = written(links.unionByName(more), "minhash-links")
         found = written(components(links), "minhash-components")
     named_by = nodes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component"))
-    out = rows.drop("bands", "sig").join(named_by, "print", "left")
+    # Texts without words have no set; they go with their document's other texts, if it has any.
+    owners = several.select("doc_id", F.col("own").alias("node")).distinct().join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
+    plain = rows.select("doc_id", "n_shingles", "print")
+    out = (plain.where("print IS NOT NULL").join(named_by, "print", "left").drop("print")
+           .unionByName(plain.where("print IS NULL").drop("print").join(owners, "doc_id", "left")))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
 

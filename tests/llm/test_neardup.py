@@ -95,6 +95,14 @@ def test_near_the_limit_chains_and_crowds(spark, k, monkeypatch):
     hold(rows, dict(enumerate(texts)), k)
 
 
+def test_texts_of_one_document_link_it(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(5, a), (9, a), (9, b), (11, b), (9, None), (9, " "), (20, c), (20, d), (20, c), (21, d), (30, ""), (30, None), (31, None), (None, a), (40, "e f")]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id is not None)
+    want = {5: 5, 9: 5, 11: 5, 20: 20, 21: 20, 30: 30, 31: 31, 40: 40}
+    assert got == sorted((i, want[i], want[i] == i) for i, _ in rows if i is not None)
+
+
 def test_table(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     rows = queries.op7_minhash_neardup(spark, "/root/testdata/sf0.01").collect()
