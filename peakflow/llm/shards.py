@@ -1,7 +1,7 @@
 """Operator 9: sharding by extendible hashing.
 
-Every row's bits are a hash of its id and text, then (for rows that are equal in both)
-a hash of its row number. A directory is indexed by the first bits; a bucket that holds more
+Every row's bits are the first ones of a hash of its id and text, as many as the first
+histogram has, then those of a hash of its row number, which part rows that are equal in both. A directory is indexed by the first bits; a bucket that holds more
 than the byte limit is split on its next bit, and no other bucket is. The splits are found
 from one histogram of cells, a few bits deeper than the mean shard needs, whose sums roll
 up to every shorter prefix; only rows of cells that still are too large (many equal rows)

@@ -2,7 +2,8 @@
 
 Texts are cut into chunks of ``CHUNK`` characters; each chunk gives its state map
 (see `transducer`), and a document's maps, gathered by a grouped aggregate of small rows,
-compose into its count. Nothing but chunk maps is shuffled.
+compose into its count. Nothing but chunk maps is shuffled. The map of a chunk without a
+space is the chunk's text; a document that has no space at all is so read whole by one task.
 
 Defined results: a null text is the empty one, which has no tokens; repeated rows are
 each counted; the strings of control tokens inside a text are ordinary text, as

@@ -1,9 +1,12 @@
+import math
 from collections import Counter, defaultdict
 
 import pytest
 from edge_docs import TEXTS, edge_docs, empty_docs
+from pyspark.sql import functions as F
 
 from peakflow.llm import queries, shards
+from peakflow.llm.base import texts
 
 
 def check(rows, limit):
@@ -22,6 +25,38 @@ def check(rows, limit):
     assert all(r.oversize == (r.n_bytes > limit) for r in rows)
 
 
+def directory(rows, limit):
+    """{row: shard} by a directory that takes row after row; rows are (row, bytes, bits)."""
+    slots, bits = [["", []]], 0  # slot i of 2 ** bits points to the bucket [prefix, rows]
+    for row in rows:
+        bucket = slots[int("0" + row[2][:bits], 2)]
+        bucket[1].append(row)
+        full = [bucket]
+        while full:
+            prefix, held = b = full.pop()
+            if sum(n for _, n, _ in held) <= limit or len(held) == 1:
+                continue
+            if len(prefix) == bits:
+                slots, bits = [x for x in slots for _ in "01"], bits + 1
+            halves = [[prefix + c, [r for r in held if r[2][len(prefix)] == c]] for c in "01"]
+            for i in [i for i, x in enumerate(slots) if x is b]:
+                slots[i] = halves[int(f"{i:0{bits}b}"[len(prefix)])]
+            full += halves
+    return {r: b[0] for b in {id(x): x for x in slots}.values() for r, _, _ in b[1]}
+
+
+@pytest.mark.parametrize("limit", [50_000, 8_000, 2_500])
+def test_shards_are_those_of_a_directory_filled_step_by_step(spark, limit):
+    docs = queries.documents(spark, "/root/testdata/sf0.001").limit(300).select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(7, "the same row again " * 40)] * 30, docs.schema)).coalesce(1)
+    rows = texts(docs).select("rid", F.octet_length("text").alias("n"), F.xxhash64("doc_id", "text").alias("h"), F.xxhash64("rid").alias("more")).collect()
+    total = sum(r.n for r in rows)
+    first = min(shards.MOST, max(1, math.ceil(math.log2(total / limit)) if total > limit else 0) + shards.SLACK)
+    word = lambda x: f"{x % 2 ** 64:064b}"
+    want = directory([(r.rid, r.n, word(r.h)[:first] + word(r.more)) for r in rows], limit)
+    assert {r.rid: r.shard for r in shards.assign(docs, limit).collect()} == want
+
+
 @pytest.mark.parametrize("limit", [10, 1000, 1 << 30])
 def test_edge_documents(spark, limit):
     rows = shards.assign(edge_docs(spark), limit).collect()
