@@ -4,12 +4,16 @@ Each text becomes its set of distinct shingle hashes, and that set ``BANDS`` x `
 under universal hash functions. Equal sets are one node from the start, named by their
 smallest document id. Nodes that agree in all rows of a band meet in a bucket. No bucket
 is expanded into pairs: its best-connected node, the pivot, is paired with the others;
-pairs whose signatures agree well enough are verified on their full sets. Buckets whose
-other nodes lie in several components after that are compared block by block, one
-task a pair of blocks, which gives only links between different components. The links'
-components come from alternating large-star and small-star.
+pairs whose signatures agree well enough are verified on their full sets. Buckets of one
+block whose other nodes lie in several components after that are compared within, which
+gives only links between different components. Larger ones are crowds, such as texts around one
+frequent passage, and are split: their nodes meet again by each of their rarest shingles. Sets of
+the wanted similarity share one of those under any common order of the shingles (the prefix
+filter), so that the split loses nothing; the order counts the crowds' shingles in
+``CELLS`` cells, whose number is fixed. The links' components come from alternating large-star and small-star.
 
-Two sets of similarity 0.8 meet in no bucket with probability below 2e-7.
+Two sets of similarity 0.8 meet in no bucket with probability below 2e-7. Quadratic is what is left in a rarest shingle
+that more than a block of nodes of several components hold: it goes through pairs of blocks, one task a pair.
 
 Defined results: a null text is the empty one; a text without words has no shingle and is
 linked with nothing; one with fewer words than a shingle has one shingle; rows with one
@@ -36,6 +40,8 @@ SHINGLE, PERCENT = 4, 80
 AGREE = 0.65
 #: Nodes in a block of a bucket.
 BLOCK = 256
+#: Cells in which the shingles of crowded buckets are counted, by the first 16 bits of their hashes.
+CELLS = 1 << 16
 
 _RANDOM = np.random.default_rng(20240917)
 _A = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -194,6 +200,48 @@ def _units(open_buckets: DataFrame, members: DataFrame) -> DataFrame:
     return other.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "comp")
 
 
+def _crossing(members: DataFrame) -> DataFrame:
+    """(bucket, size) of the buckets whose nodes lie in several components; buckets of the same nodes count once."""
+    still = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"),
+                                          F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
+    return still.groupBy("size", "h").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
+
+
+def _shingle_counts(texts: DataFrame, k: int) -> np.ndarray:
+    """How many shingles of the texts (node, text) each cell holds."""
+    def run(batches):
+        total = np.zeros(CELLS, np.int64)
+        for b in batches:
+            for s in shingle_sets(b.column(1), k):
+                cells, n = np.unique(s >> np.uint64(48), return_counts=True)
+                total[cells] += n
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["cell", "n"])
+
+    counts = np.zeros(CELLS, np.int64)
+    for r in texts.mapInArrow(tidy(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        counts[r.cell] = r.n
+    return counts
+
+
+def _by_rarest(docs: DataFrame, crowd: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(bucket, node, comp): the nodes of ``crowd`` (node, comp) by each of their rarest shingles, as many as the prefix filter asks for."""
+    texts = (docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
+             .join(crowd.select("node"), "node", "left_semi"))
+    counts = _shingle_counts(texts, k)
+
+    def run(batches):
+        for b in batches:
+            sets = shingle_sets(b.column(1), k)
+            first = [len(s) + (-percent * len(s)) // 100 + 1 if len(s) else 0 for s in sets]
+            rarest = [s[np.lexsort((s, counts[s >> np.uint64(48)]))[:n]] for s, n in zip(sets, first, strict=True)]
+            if sum(first):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rarest).view(np.int64)), pa.array(np.repeat(np.asarray(b.column(0)), first))],
+                                                 names=["bucket", "node"])
+
+    return texts.mapInArrow(tidy(run), "bucket long, node long").join(crowd, "node").select("bucket", "node", "comp")
+
+
 def _likely(units: DataFrame, sigs: DataFrame) -> DataFrame:
     """The units' nodes that may be linked with a node of another component there."""
     grouped = (units.join(sigs.select("node", "sig"), "node").groupBy("bucket", "i", "j")
@@ -273,11 +321,13 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: s
 
     others = (starred.where("node <> pivot").select("bucket", "node").join(found, "node", "left")
               .select("bucket", "node", F.coalesce("component", "node").alias("comp")))
-    # Buckets of the same nodes in several bands count once.
-    still = others.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"),
-                                         F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
-    still = still.groupBy("size", "h").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    likely = written(_likely(_units(still, others), nodes), "minhash-likely")
+    still = written(_crossing(others), "minhash-open")
+    units = _units(still.where(F.col("size") <= BLOCK), others)
+    crowd = written(others.join(still.where(F.col("size") > BLOCK).select("bucket"), "bucket", "left_semi").select("node", "comp").distinct(), "minhash-crowd")
+    if not crowd.isEmpty():
+        rare = written(_by_rarest(docs, crowd, k, percent, id_col, text_col), "minhash-rare")
+        units = units.unionByName(_units(_crossing(rare), rare))
+    likely = written(_likely(units, nodes), "minhash-likely")
     if not likely.isEmpty():
         more = _unit_links(likely, _sets(docs, likely.select("node").distinct(), k, id_col, text_col), percent)
         links = written(links.unionByName(more), "minhash-links")

@@ -95,6 +95,32 @@ def test_near_the_limit_chains_and_crowds(spark, k, monkeypatch):
     hold(rows, dict(enumerate(texts)), k)
 
 
+def test_a_crowd_grows_linearly(spark, monkeypatch):
+    """Texts around one passage, of which few are alike: every alike pair meets again, and twice the crowd gives about twice the rows."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    rnd = random.Random(3)
+    common = prose(60, rnd)
+
+    def crowd(n):
+        texts = [common + " " + " ".join(f"u{rnd.random()}" for _ in range(20)) for _ in range(n)]
+        texts += [edited(t.split(), 2, rnd) for t in texts[::10]]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        nodes = spark.createDataFrame([(i, i) for i in range(len(texts))], "node long, comp long")
+        rare = neardup._by_rarest(docs, nodes, 4, 80, "doc_id", "text").cache()
+        units = neardup._units(neardup._crossing(rare), rare).collect()
+        at = defaultdict(set)
+        for r in units:
+            at[r.bucket, r.i, r.j].add(r.node)
+        sets = [shingles(t, 4) for t in texts]
+        for i, (a, b) in enumerate((10 * j, n + j) for j in range(n // 10)):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                assert any({a, b} <= m for m in at.values()), i
+        return len(units)
+
+    small = crowd(200)
+    assert 0 < small and crowd(400) < 3 * small < 3 * 200 * 8
+
+
 def test_texts_of_one_document_link_it(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
     rows = [(5, a), (9, a), (9, b), (11, b), (9, None), (9, " "), (20, c), (20, d), (20, c), (21, d), (30, ""), (30, None), (31, None), (None, a), (40, "e f")]
