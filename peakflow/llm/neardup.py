@@ -10,7 +10,8 @@ gives only links between different components. Larger ones are crowds, such as t
 frequent passage, and are split: their nodes meet again by each of their rarest shingles. Sets of
 the wanted similarity share one of those under any common order of the shingles (the prefix
 filter), so that the split loses nothing; the order counts the crowds' shingles in
-``CELLS`` cells, whose number is fixed. The links' components come from alternating large-star and small-star.
+``CELLS`` cells, whose number is fixed. There a node of the smallest component is paired with those of the others
+and left out after it, ``STARS`` times, before what still crosses components is compared within. The links' components come from alternating large-star and small-star.
 
 Two sets of similarity 0.8 meet in no bucket with probability below 2e-7. Quadratic is what is left in a rarest shingle
 that more than a block of nodes of several components hold: it goes through pairs of blocks, one task a pair.
@@ -42,6 +43,8 @@ AGREE = 0.65
 BLOCK = 256
 #: Cells in which the shingles of crowded buckets are counted, by the first 16 bits of their hashes.
 CELLS = 1 << 16
+#: Rounds in which a rarest shingle's nodes are paired with one of them.
+STARS = 3
 
 _RANDOM = np.random.default_rng(20240917)
 _A = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -194,17 +197,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _units(open_buckets: DataFrame, members: DataFrame) -> DataFrame:
     """(bucket, i, j, node, comp): each node of an open bucket in every pair of blocks that its own block is part of."""
-    sized = members.join(open_buckets, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    sized = members.join(open_buckets.select("bucket", "size"), "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     own = sized.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = own.select("bucket", "node", "comp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     return other.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "comp")
 
 
 def _crossing(members: DataFrame) -> DataFrame:
-    """(bucket, size) of the buckets whose nodes lie in several components; buckets of the same nodes count once."""
+    """(bucket, size, head) of the buckets whose nodes lie in several components; buckets of the same nodes count once.
+
+    ``head`` (weight, node, comp) is a node of the bucket's smallest component, by the components' weights.
+    """
     still = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"),
-                                          F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
-    return still.groupBy("size", "h").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
+                                          F.min("comp").alias("a"), F.max("comp").alias("b"), F.min(F.struct("weight", "node", "comp")).alias("head")).where("a <> b")
+    return still.groupBy("size", "h").agg(F.min(F.struct("bucket", "head")).alias("x")).select("x.bucket", "size", "x.head")
 
 
 def _shingle_counts(texts: DataFrame, k: int) -> np.ndarray:
@@ -225,7 +231,7 @@ def _shingle_counts(texts: DataFrame, k: int) -> np.ndarray:
 
 
 def _by_rarest(docs: DataFrame, crowd: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(bucket, node, comp): the nodes of ``crowd`` (node, comp) by each of their rarest shingles, as many as the prefix filter asks for."""
+    """(bucket, node, comp, weight): the nodes of ``crowd`` (node, comp, weight) by each of their rarest shingles, as many as the prefix filter asks for."""
     texts = (docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
              .join(crowd.select("node"), "node", "left_semi"))
     counts = _shingle_counts(texts, k)
@@ -239,7 +245,7 @@ def _by_rarest(docs: DataFrame, crowd: DataFrame, k: int, percent: int, id_col:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rarest).view(np.int64)), pa.array(np.repeat(np.asarray(b.column(0)), first))],
                                                  names=["bucket", "node"])
 
-    return texts.mapInArrow(tidy(run), "bucket long, node long").join(crowd, "node").select("bucket", "node", "comp")
+    return texts.mapInArrow(tidy(run), "bucket long, node long").join(crowd, "node").select("bucket", "node", "comp", "weight")
 
 
 def _likely(units: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -319,13 +325,31 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: s
     links = written(_verified(alike, _sets(docs, wanted, k, id_col, text_col), percent).unionByName(same), "minhash-links")
     found = written(components(links), "minhash-components")
 
-    others = (starred.where("node <> pivot").select("bucket", "node").join(found, "node", "left")
-              .select("bucket", "node", F.coalesce("component", "node").alias("comp")))
-    still = written(_crossing(others), "minhash-open")
-    units = _units(still.where(F.col("size") <= BLOCK), others)
-    crowd = written(others.join(still.where(F.col("size") > BLOCK).select("bucket"), "bucket", "left_semi").select("node", "comp").distinct(), "minhash-crowd")
+    def placed(members):
+        """The members (bucket, node) with their components of now and how many nodes of the members those have."""
+        comps = members.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
+        weights = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("weight"))
+        return members.select("bucket", "node").join(comps.join(weights, "comp"), "node").select("bucket", "node", "comp", "weight")
+
+    others = starred.where("node <> pivot").select("bucket", "node")
+    still = written(_crossing(placed(others)), "minhash-open")
+    crowd = written(placed(others.join(still.where(F.col("size") > BLOCK).select("bucket"), "bucket", "left_semi")).drop("bucket").distinct(), "minhash-crowd")
+    rare = None
     if not crowd.isEmpty():
-        rare = written(_by_rarest(docs, crowd, k, percent, id_col, text_col), "minhash-rare")
+        rare = _by_rarest(docs, crowd, k, percent, id_col, text_col)
+        for _ in range(STARS):
+            crossing = rare.join(_crossing(rare).select("bucket", "head"), "bucket")
+            stars = written(crossing.select("bucket", "node", "comp", F.col("head.node").alias("pivot"), F.col("head.comp").alias("other")), "minhash-rare")
+            pairs = stars.where("comp <> other").select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct()
+            alike = written(_alike(pairs, nodes), "minhash-alike")
+            if not alike.isEmpty():
+                wanted = alike.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+                links = written(links.unionByName(_verified(alike, _sets(docs, wanted, k, id_col, text_col), percent)), "minhash-links")
+                found = written(components(links), "minhash-components")
+            rare = written(placed(stars.where("node <> pivot")), "minhash-rare")
+    small = placed(others.join(still.where(F.col("size") <= BLOCK).select("bucket"), "bucket", "left_semi"))
+    units = _units(_crossing(small), small)
+    if rare is not None:
         units = units.unionByName(_units(_crossing(rare), rare))
     likely = written(_likely(units, nodes), "minhash-likely")
     if not likely.isEmpty():

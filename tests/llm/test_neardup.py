@@ -105,7 +105,7 @@ def test_a_crowd_grows_linearly(spark, monkeypatch):
         texts = [common + " " + " ".join(f"u{rnd.random()}" for _ in range(20)) for _ in range(n)]
         texts += [edited(t.split(), 2, rnd) for t in texts[::10]]
         docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-        nodes = spark.createDataFrame([(i, i) for i in range(len(texts))], "node long, comp long")
+        nodes = spark.createDataFrame([(i, i, 1) for i in range(len(texts))], "node long, comp long, weight long")
         rare = neardup._by_rarest(docs, nodes, 4, 80, "doc_id", "text").cache()
         units = neardup._units(neardup._crossing(rare), rare).collect()
         at = defaultdict(set)
