@@ -4,10 +4,11 @@ Each text becomes its set of distinct shingle hashes, and that set ``BANDS`` x `
 under universal hash functions. Equal sets are one node from the start, named by their
 smallest document id. Nodes that agree in all rows of a band meet in a bucket. No bucket
 is expanded into pairs: its best-connected node, the pivot, is paired with the others;
-pairs whose signatures agree well enough are verified on their full sets. Buckets of one
-block whose other nodes lie in several components after that are compared within, which
-gives only links between different components. Larger ones are crowds, such as texts around one
-frequent passage, and are split: their nodes meet again by each of their rarest shingles. Sets of
+pairs whose signatures agree well enough are verified on their full sets. Buckets whose
+other nodes lie in several components after that are compared block by block, one task a pair of
+blocks, which gives only links between different components. Where that would copy a bucket's nodes more
+often than they have rarest shingles, as for a crowd of texts around one
+frequent passage, the bucket is split: its nodes meet again by each of their rarest shingles. Sets of
 the wanted similarity share one of those under any common order of the shingles (the prefix
 filter), so that the split loses nothing; the order counts the crowds' shingles in
 ``CELLS`` cells, whose number is fixed. The links' components come from alternating large-star and small-star.
@@ -28,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import ship_code, tidy, written
@@ -207,6 +208,11 @@ def _crossing(members: DataFrame) -> DataFrame:
     return still.groupBy("size", "h").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
 
 
+def _rarest_of(n: Column, percent: int) -> Column:
+    """How many rarest shingles of a set of ``n`` the prefix filter asks for."""
+    return F.floor(n * (100 - percent) / 100) + 1
+
+
 def _shingle_counts(texts: DataFrame, k: int) -> np.ndarray:
     """How many shingles of the texts (node, text) each cell holds."""
     def run(batches):
@@ -302,7 +308,8 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: s
     """(doc_id, n_shingles, component_id, kept) of each row."""
     rows = written(signatures(docs, k, id_col, text_col), "minhash")
     named = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    nodes = written(named.groupBy("print").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig")), "minhash-nodes")
+    nodes = written(named.groupBy("print").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"),
+                                               F.max("n_shingles").alias("n_shingles")), "minhash-nodes")
     # Bands whose bucket holds one node alone are dropped before anything else is gathered.
     every = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -322,8 +329,13 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: s
     others = (starred.where("node <> pivot").select("bucket", "node").join(found, "node", "left")
               .select("bucket", "node", F.coalesce("component", "node").alias("comp")))
     still = written(_crossing(others), "minhash-open")
-    units = _units(still.where(F.col("size") <= BLOCK), others)
-    crowd = written(others.join(still.where(F.col("size") > BLOCK).select("bucket"), "bucket", "left_semi").select("node", "comp").distinct(), "minhash-crowd")
+    # The cheaper way for each bucket, by how often it copies a node.
+    rarest = _rarest_of(F.col("n_shingles"), percent)
+    held = (others.join(still, "bucket").join(nodes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node")
+            .groupBy("bucket", "size").agg(F.avg(rarest).alias("rarest")))
+    sized = written(held.select("bucket", "size", (F.ceil(F.col("size") / BLOCK) > F.col("rarest")).alias("crowded")), "minhash-sized")
+    units = _units(sized.where("NOT crowded").drop("crowded"), others)
+    crowd = written(others.join(sized.where("crowded").select("bucket"), "bucket", "left_semi").select("node", "comp").distinct(), "minhash-crowd")
     if not crowd.isEmpty():
         rare = written(_by_rarest(docs, crowd, k, percent, id_col, text_col), "minhash-rare")
         units = units.unionByName(_units(_crossing(rare), rare))

@@ -72,10 +72,10 @@ def test_empty_table(spark):
     assert neardup.classes(empty_docs(spark)).collect() == []
 
 
-@pytest.mark.parametrize("k", [4, 5])
-def test_near_the_limit_chains_and_crowds(spark, k, monkeypatch):
+@pytest.mark.parametrize(("k", "block"), [(4, 8), (5, 8), (4, 1)])
+def test_near_the_limit_chains_and_crowds(spark, k, block, monkeypatch):
     """Copies just above and below the limit, chains whose ends aren't alike, and a crowd around a middle that isn't its smallest."""
-    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "BLOCK", block)  # with 1, crowds are split by their rarest shingles
     rnd = random.Random(k)
     texts = []
     for _ in range(6):
