@@ -73,3 +73,11 @@ def test_dedupe_by_prints_gives_the_same_rows(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert quality.dedupe_rows(df.limit(0), "prints").count() == 0 and "left_anti" not in plan
     assert "partial_count(1)], output=[__a" in plan  # what is shuffled to be counted
+
+
+def test_duplicate_report_counts_the_rows_and_their_copies(spark, tmp_path):
+    from datetime import datetime
+    from peakflow.plans.registry import QUERIES
+    rows = [(i, datetime(2024, 1, 1, i, 0, 0), i, "view", 1.0, "{}") for i in (1, 2, 10)]  # event 10 comes twice by itself
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    assert tuple(QUERIES["duplicate_report"](spark, str(tmp_path)).first()) == (8, 3, 5)
