@@ -8,6 +8,7 @@ Only model metadata (feature names, the trees' nodes) is read on the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,6 +24,8 @@ from ..spec import FLIGHTS, LABEL, MAX_DEPTH, NUM_TREES, SEED, TRAIN_FRACTION, M
 from . import clean, forest
 
 LABEL_COL = "label"
+#: Bytes of training rows that one task of the forest's fit reads in a pass.
+FIT_TASK_BYTES = 100_000_000
 
 
 def ml_frame(df: DataFrame, spec: MovementSpec = FLIGHTS) -> DataFrame:
@@ -73,6 +76,33 @@ def model_pipeline(df: DataFrame, spec: MovementSpec = FLIGHTS, **forest) -> Pip
     return Pipeline(stages=feature_stages(df, spec)[0] + [random_forest(**forest)])
 
 
+def spread(df: DataFrame, rows_per_task: int) -> DataFrame:
+    """``df`` in even parts of ``rows_per_task`` rows, if one of its own parts holds more; as it is otherwise.
+
+    Parquet is split by its bytes, so a part of a narrow table holds more rows the larger the table is. Rows are dealt out in turn,
+    so repeated rows and hot keys spread as well. Each part is sorted: computed again, it has the same rows in the same order, by
+    which the forest draws their weights.
+    """
+    sizes = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    if (found["most"] or 0) <= rows_per_task:
+        return df
+    return df.repartition(math.ceil(found["rows"] / rows_per_task)).sortWithinPartitions(*[qcol(c) for c in df.columns])
+
+
+def fit_model(train: DataFrame, spec: MovementSpec = FLIGHTS, **options) -> PipelineModel:
+    """The fitted ``model_pipeline``, its forest from :func:`spread` rows.
+
+    A pass over the rows reads each row's weight and its node in every tree (16 bytes a tree, as measured) and its bin in every
+    slot of the vector (4 bytes).
+    """
+    encoders = feature_pipeline(train, spec).fit(train)
+    trees = random_forest(**options)
+    slots = len(feature_names(encoders, encoders.transform(train).schema))
+    rows = max(1, FIT_TASK_BYTES // (16 * trees.getNumTrees() + 4 * slots))
+    return PipelineModel(stages=[*encoders.stages, trees.fit(encoders.transform(spread(train, rows)))])
+
+
 def hash_share(keys: Sequence[str], salt: str) -> Column:
     """A number from 0 to 9999 from the md5 of a salt and the key columns."""
     text = F.concat_ws("|", F.lit(salt), *[qcol(k).cast("string") for k in keys])

@@ -53,7 +53,7 @@ def fitted(spark: SparkSession, base: str) -> dict:
     if key not in _FITTED:
         ensure_checkpoint_dir(spark)
         train, test = ml.hash_split(ml_input(spark, base), KEY)
-        model = ml.model_pipeline(train, M).fit(train)
+        model = ml.fit_model(train, M)
         _, cats, inputs = ml.feature_stages(train, M)
         _FITTED[key] = {"train": train, "test": test, "model": model, "inputs": inputs,
                         "train_pred": model.transform(train), "test_pred": model.transform(test)}

@@ -114,7 +114,7 @@ def run_ml(pp: DataFrame, out_dir: str, spec: MovementSpec = FLIGHTS,
     renamed = dict(spec.rename_map)
     keys = [renamed.get(k, k) for k in keys]
     train, test = ml.hash_split(data, keys)
-    model = ml.model_pipeline(train, spec).fit(train)
+    model = ml.fit_model(train, spec)
     train_pred, test_pred = model.transform(train), model.transform(test)
     sinks.save_model(model, _out(out_dir, "models/random_forest_pipeline"))
     _, _, inputs = ml.feature_stages(train, spec)

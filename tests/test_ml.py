@@ -155,3 +155,29 @@ def test_forest_keys_agree_with_the_metrics_of_their_rows(spark):
     assert abs(table["test_accuracy"] - accuracy) < 1e-12 and abs(sum(v for k, v in table.items() if k.startswith("importance:")) - 1) < 1e-9
     sample = QUERIES["ml_predictions"](spark, SF_MID).collect()
     assert len(sample) == 10 and set(sample) <= set(rows)
+
+
+def test_the_fit_reads_even_parts_however_few_files_hold_the_rows(spark, tmp_path, monkeypatch):
+    from datetime import datetime, timedelta
+    from pyspark.ml.classification import RandomForestClassifier
+    from peakflow.plans.ml_queries import QUERIES
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=7 * i), i % 300, "view", 1.0, "{}") for i in range(2000)]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    seen, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, params=None: seen.append(df) or fit(self, df, params))
+    monkeypatch.setattr(ml, "FIT_TASK_BYTES", 200_000, raising=False)  # about 100 rows
+    confusion = QUERIES["ml_forest_confusion"](spark, str(tmp_path)).collect()
+    sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    flags = {r.is_train: r["count"] for r in QUERIES["ml_hash_split"](spark, str(tmp_path)).groupBy("is_train").count().collect()}
+    assert sum(sizes) == flags[True] and max(sizes) <= 130  # every training row, in small parts
+    assert sum(r["count"] for r in confusion) == flags[False]
+
+
+def test_spread_leaves_small_parts_and_deals_out_repeated_rows(spark):
+    df = spark.range(1000, numPartitions=4)
+    assert ml.spread(df, 250) is df and ml.spread(df.limit(0), 1).count() == 0
+    same = spark.range(1000, numPartitions=1).select(F.lit(7).alias("a.b"), F.lit(None).cast("string").alias("c"))
+    parts = ml.spread(same, 100)
+    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 10 and max(sizes) <= 110
